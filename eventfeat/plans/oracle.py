@@ -1,0 +1,22 @@
+"""DuckDB SQL oracles, one per registered query (same output column names)."""
+
+from __future__ import annotations
+
+ORACLE: dict[str, str] = {}
+
+_ASOF = """
+WITH p AS (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'),
+     v AS (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'view'),
+     j AS (
+       SELECT p.event_id, p.ts, p.user_id, p.value, p.ts - INTERVAL 1 HOUR AS asof_target_ts,
+              v.ts AS vts, v.event_id AS veid, v.value AS vval
+       FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts - INTERVAL 1 HOUR >= v.ts)
+SELECT event_id, ts, user_id, value, asof_target_ts,
+       CASE WHEN vts >= asof_target_ts - INTERVAL 8 HOUR THEN vts END AS matched_ts,
+       CASE WHEN vts >= asof_target_ts - INTERVAL 8 HOUR THEN veid END AS view_event_id,
+       CASE WHEN vts >= asof_target_ts - INTERVAL 8 HOUR THEN vval END AS view_value
+FROM j
+"""
+
+ORACLE["j7_asof_join"] = _ASOF
+ORACLE["j8_match_rate"] = f"SELECT count(matched_ts) AS matched, count(*) AS total FROM ({_ASOF}) a"
