@@ -1,46 +1,18 @@
-"""Query catalog: one Spark plan per operator of the inventory, keyed by operator id.
+"""Query catalog: importing the query modules fills the registry.
 
-Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the driver tables.
-Every computed column is aliased to the same name its oracle SQL uses.
+``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name]`` (DuckDB SQL with
+the same output columns) for every operator of the inventory that SQL can check.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from eventfeat.plans import q_core  # noqa: F401
+from eventfeat.plans.q_core import purchase_view_asof  # noqa: F401
+from eventfeat.plans.registry import ORACLE, QUERIES  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from eventfeat.operators.asof import asof_join, match_rate
-from eventfeat.plans.tables import Tables
-
-HOUR = 3600
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def query(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------- as-of
-
-def purchase_view_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    purchases = ev.filter(F.col("event_type") == "purchase").drop("event_type")
-    views = ev.filter(F.col("event_type") == "view").select("user_id", "ts", "event_id", "value")
-    return asof_join(purchases, views, "user_id", "ts", "ts", offset_s=1 * HOUR, tolerance_s=8 * HOUR,
-                     right_cols=["event_id", "value"], tiebreak="event_id", prefix="view_")
-
-
-@query("j7_asof_join")
-def q_j7(spark, sf_dir):
-    return purchase_view_asof(spark, sf_dir)
-
-
-@query("j8_match_rate")
-def q_j8(spark, sf_dir):
-    return match_rate(purchase_view_asof(spark, sf_dir), "matched_ts")
+for _mod in ("q_parse", "q_stats", "q_split", "q_model", "q_io"):
+    try:
+        __import__(f"eventfeat.plans.{_mod}")
+    except ModuleNotFoundError as e:  # modules land one by one
+        if e.name != f"eventfeat.plans.{_mod}":
+            raise
