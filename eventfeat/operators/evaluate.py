@@ -164,12 +164,13 @@ def best_step(metrics: DataFrame, fold: str = "fold", step: str = "step", value:
                     F.col("_r.last").alias("stop_step"), F.col("_r.seen").alias("steps_seen"))
 
 
-def fold_summary(metrics_wide: DataFrame, fold: str, select_by: str, cols: Sequence[str]) -> DataFrame:
-    """Per fold, the row (step) with the greatest ``select_by`` (ties: latest
-    listed first wins via the struct order) and its ``cols``."""
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(select_by))
+def fold_summary(metrics_wide: DataFrame, fold: str, select_by: str, cols: Sequence[str], step: str = "step") -> DataFrame:
+    """Per fold, the step with the greatest ``select_by`` (ties: the earliest
+    step, as a strictly-improving tracker keeps it) and its ``cols``."""
+    best = F.max_by(F.struct(F.col(step).alias(step), *[F.col(c) for c in cols if c != step]),
+                    F.struct(F.col(select_by), -F.col(step)))
     return metrics_wide.groupBy(fold).agg(F.max(select_by).alias(f"best_{select_by}"), best.alias("_b")).select(
-        fold, f"best_{select_by}", *[F.col("_b")[c].alias(c) for c in cols])
+        fold, f"best_{select_by}", F.col("_b")[step].alias(step), *[F.col("_b")[c].alias(c) for c in cols if c != step])
 
 
 def gap_report(summary: DataFrame, train_col: str, val_col: str, baseline: float, overfit_gap: float = 0.1) -> DataFrame:

@@ -78,7 +78,7 @@ FIXTURES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("o_custkey", "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_custkey END"),
         ("o_totalprice", "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END"),
         ("o_orderpriority", "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END"),
-        ("o_rate", "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE round(o_totalprice / 10000.0, 2) END"),
+        ("o_rate", "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE floor(o_totalprice / 100.0 + 0.5) / 100 END"),
         ("o_orderdate", "o_orderdate"),
         ("price_str", "CASE WHEN o_orderkey % 7 = 0 THEN 'VRB' ELSE CAST(o_totalprice AS STRING) END"),
         ("prio_str", "CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE substr(o_orderpriority, 1, 1) END"),
@@ -88,8 +88,17 @@ FIXTURES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("o_orderkey", "o_orderkey"),
         ("fold", "o_orderpriority"),
         ("y", "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END"),
-        ("score", "round((CAST(conv(substr(md5('7:' || CAST(o_orderkey AS STRING)), 1, 8), 16, 10) AS BIGINT) / 4294967296.0"
-                  " + CASE WHEN o_orderstatus = 'F' THEN 0.35 ELSE 0.0 END) / 1.35, 2)"),
+        # 2-decimal rounding written as floor(x*100 + 0.5)/100: bit-identical in both engines
+        ("score", "floor((CAST(conv(substr(md5('7:' || CAST(o_orderkey AS STRING)), 1, 8), 16, 10) AS BIGINT) / 4294967296.0"
+                  " + CASE WHEN o_orderstatus = 'F' THEN 0.35 ELSE 0.0 END) / 1.35 * 100 + 0.5) / 100"),
+    ]),
+    # per-(fold, step) metric log derived from orders: fold = year, step = month
+    "orders_metrics": ("orders", [
+        ("o_orderkey", "o_orderkey"),
+        ("fold", "CAST(year(o_orderdate) - 1994 AS INT)"),
+        ("step", "CAST(month(o_orderdate) AS INT)"),
+        ("is_f", "CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END"),
+        ("is_fo", "CASE WHEN o_orderstatus IN ('F', 'O') THEN 1.0 ELSE 0.0 END"),
     ]),
 }
 
@@ -114,6 +123,8 @@ def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with CTEs for the named fixtures (merging a leading WITH)."""
     ctes = ", ".join(f"{n} AS {fixture_sql(n)}" for n in names)
     body = sql.lstrip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes}, {body[14:]}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes}, {body[4:]}"
     return f"WITH {ctes} {body}"
