@@ -37,12 +37,15 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
 
     Returns ``node, pagerank``.  Raises if not converged within ``max_iter``."""
     spark = edges.sparkSession
-    e = edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst", F.col(weight).cast("double").alias("w"))
+    # the edge list is the only input; cut its lineage once so the upstream plan
+    # (e.g. a join over the fact table) runs a single time
+    e = cut_lineage(edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+                    .select("src", "dst", F.col(weight).cast("double").alias("w")))
     outw = e.groupBy("src").agg(F.sum("w").alias("_ow"))
-    en = cut_lineage(e.join(outw, on="src").select("src", "dst", (F.col("w") / F.col("_ow")).alias("p")))
-    nodes = cut_lineage(e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
-                        .join(outw.select(F.col("src").alias("node"), F.lit(False).alias("_dangling")), "node", "left")
-                        .select("node", F.coalesce("_dangling", F.lit(True)).alias("dangling")))
+    en = e.join(outw, on="src").select("src", "dst", (F.col("w") / F.col("_ow")).alias("p")).cache()
+    nodes = (e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+             .join(outw.select(F.col("src").alias("node"), F.lit(False).alias("_dangling")), "node", "left")
+             .select("node", F.coalesce("_dangling", F.lit(True)).alias("dangling"))).cache()
     st = nodes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("dangling").cast("long")).alias("nd")).first()
     n = int(st["n"])
     if n == 0:
