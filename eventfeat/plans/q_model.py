@@ -166,13 +166,14 @@ def q_e5(spark, d):
 
 
 def _train_and_score(spark, d, reload: bool):
-    from eventfeat.operators.train import score, train_mlp
+    from eventfeat.operators.train import ARCH, MAX_ITER, score, train_mlp
     from eventfeat.sources.io import load_model, save_model, scratch_path
     df = _model_frame(spark, d)
     train = df.filter(_is_train())
     pm = FE.feature_pipeline(_SPEC).fit(train)
     tr = pm.transform(train)
-    model = train_mlp(tr, "log_scaled_features", "y", hidden=(8,), max_iter=30, step_size=0.01)
+    arch = ARCH["mlp2" if reload else "mlp1"]
+    model = train_mlp(tr, "log_scaled_features", "y", hidden=arch["hidden"], max_iter=MAX_ITER, step_size=arch["step_size"])
     test = pm.transform(df.filter(~_is_train()))
     if reload:
         p = scratch_path(spark, "mlp")

@@ -54,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) on a cluster")
     d = tempfile.mkdtemp(prefix="eventfeat-ckpt-", dir=os.environ.get("EVENTFEAT_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)

@@ -14,7 +14,7 @@ MEDIUM = "/root/testdata/sf0.01"
 def spark():
     from eventfeat.session import build_session
 
-    s = build_session("local[4]", app="eventfeat-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="eventfeat-tests", shuffle_partitions=4, extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
 
