@@ -97,34 +97,41 @@ def _neighbour(
 
     if bucket_width:
         rec = F.struct("_t", "_tb", "_r")
-        summary = R.groupBy(*keys, "_b").agg(
-            F.max_by(rec, F.struct(F.col("_t"), (-F.col("_tb") if _orderable_neg(tb_type) else F.col("_tb")))).alias("_last"),
-            F.min_by(rec, F.struct("_t", "_tb")).alias("_first"),
-        )
+        last_key = F.struct(F.col("_t"), (-F.col("_tb") if _orderable_neg(tb_type) else F.col("_tb")))
+        aggs = ([F.max_by(rec, last_key).alias("_last")] if want_back else []) + \
+               ([F.min_by(rec, F.struct("_t", "_tb")).alias("_first")] if want_fwd else [])
+        summary = R.groupBy(*keys, "_b").agg(*aggs)
         carries = []
         if bounded:
-            # width >= tolerance: only the adjacent bucket can hold a match.
+            # width >= tolerance: only the adjacent bucket can hold a match; the last
+            # candidate moves to the next bucket, the first to the previous one
+            moves = []
             if want_back:
-                carries.append(summary.select(*keys, (F.col("_b") + 1).alias("_b"), F.col("_last").alias("_c")))
+                moves.append(F.struct((F.col("_b") + 1).alias("b"), F.col("_last").alias("c")))
             if want_fwd:
-                carries.append(summary.select(*keys, (F.col("_b") - 1).alias("_b"), F.col("_first").alias("_c")))
+                moves.append(F.struct((F.col("_b") - 1).alias("b"), F.col("_first").alias("c")))
+            mv = summary.select(*keys, F.explode(F.array(*moves)).alias("_m"))
+            carries.append(mv.select(*keys, F.col("_m.b").alias("_b"), F.col("_m.c").alias("_c")))
         else:
+            # one window pass over (summary rows + left-bucket markers) per key gives
+            # both carries: markers sort before the summary row of their own bucket,
+            # so running last() sees strictly earlier (or, descending, later) buckets
             marks = L.select(*keys, "_b").distinct()
-            # markers sort between buckets so the running last() sees strictly earlier buckets
+            st = summary.schema
+            sides = [c for c in ("_last", "_first") if c in st.fieldNames()]
+            x = summary.select(*keys, "_b", F.lit(1).alias("_o"), *sides).unionByName(
+                marks.select(*keys, "_b", F.lit(0).alias("_o"), *[F.lit(None).cast(st[c].dataType).alias(c) for c in sides]))
+            run = (Window.unboundedPreceding, 0)
             if want_back:
-                x = summary.select(*keys, "_b", F.lit(1).alias("_o"), F.col("_last").alias("_c")).unionByName(
-                    marks.select(*keys, "_b", F.lit(0).alias("_o"), F.lit(None).cast(summary.schema["_last"].dataType).alias("_c")))
-                w = Window.partitionBy(*keys).orderBy("_b", "_o").rowsBetween(Window.unboundedPreceding, 0)
-                carries.append(x.withColumn("_cc", F.last("_c", ignorenulls=True).over(w))
-                               .filter((F.col("_o") == 0) & F.col("_cc").isNotNull())
-                               .select(*keys, "_b", F.col("_cc").alias("_c")))
+                wbk = Window.partitionBy(*keys).orderBy("_b", "_o").rowsBetween(*run)
+                x = x.withColumn("_cb", F.last("_last", ignorenulls=True).over(wbk))
             if want_fwd:
-                x = summary.select(*keys, "_b", F.lit(1).alias("_o"), F.col("_first").alias("_c")).unionByName(
-                    marks.select(*keys, "_b", F.lit(0).alias("_o"), F.lit(None).cast(summary.schema["_first"].dataType).alias("_c")))
-                w = Window.partitionBy(*keys).orderBy(F.col("_b").desc(), "_o").rowsBetween(Window.unboundedPreceding, 0)
-                carries.append(x.withColumn("_cc", F.last("_c", ignorenulls=True).over(w))
-                               .filter((F.col("_o") == 0) & F.col("_cc").isNotNull())
-                               .select(*keys, "_b", F.col("_cc").alias("_c")))
+                wfk = Window.partitionBy(*keys).orderBy(F.col("_b").desc(), "_o").rowsBetween(*run)
+                x = x.withColumn("_cf", F.last("_first", ignorenulls=True).over(wfk))
+            got = [F.col(c) for c, w in (("_cb", want_back), ("_cf", want_fwd)) if w]
+            carries.append(x.filter(F.col("_o") == 0)
+                           .select(*keys, "_b", F.explode(F.array(*got)).alias("_c"))
+                           .filter(F.col("_c").isNotNull()))
         for c in carries:
             parts.append(c.select(*keys, "_b", F.col("_c._t").alias("_t"), F.lit(rs).alias("_s"),
                                   F.col("_c._tb").alias("_tb"), _null_struct(l_schema).alias("_l"),
