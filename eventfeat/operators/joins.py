@@ -107,8 +107,9 @@ class TargetEncoding:
     out: str
 
     def apply(self, df: DataFrame) -> DataFrame:
-        t = bounded_broadcast(self.table)
-        return (df.join(t, on=self.key, how="left")
+        # the encoding table is an aggregate of the training rows: no eager size
+        # check (it would cost a pass); AQE broadcasts it at runtime when small
+        return (df.join(self.table, on=self.key, how="left")
                 .withColumn(self.out, F.coalesce(F.col(self.out), F.lit(self.global_mean))))
 
 

@@ -108,45 +108,32 @@ def gap_since_prev(df: DataFrame, by, order, ts: str, unit_s: float = 60.0, out:
 
 
 def ratio_split(df: DataFrame, ts: str, ratios: Sequence[float], names: Sequence[str] = ("train", "val", "test"),
-                tiebreak: str | Sequence[str] = (), out: str = "split") -> DataFrame:
+                tiebreak: str | Sequence[str] = (), out: str = "split", partitions: int | None = None) -> DataFrame:
     """Chronological split by row rank: the first ``int(N*r1)`` rows (by ``ts``,
     then ``tiebreak``) are ``names[0]``, the next ``int(N*r2)`` ``names[1]``, ...
 
-    No global single-partition window: rows are counted per day, the prefix sum
-    runs over the small day table, and only the days that straddle a cut get a
-    within-day ``row_number``."""
+    The global rank is computed without a single-partition window: rows are range
+    partitioned on ``(ts, tiebreak)`` (sampled bounds, so even one hot timestamp is
+    split when the tie-break is unique), sorted inside each partition, numbered
+    there, and shifted by the prefix sum of the per-partition counts (a table with
+    one row per partition)."""
     tb = _list(tiebreak) if tiebreak else []
-    day = F.to_date(F.col(ts))
-    days = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    total = F.sum("_n").over(Window.partitionBy(F.lit(1)))
-    days = days.withColumn("_total", total)
-    cuts, acc = [], None
-    for r in ratios:
-        c = F.floor(F.col("_total") * F.lit(float(r))).cast("long")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(ts), *[F.col(c) for c in tb]]
+    r = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+                           F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"))
+    # one row per partition: bounded by construction, so broadcast without a check
+    r = r.join(F.broadcast(counts), on="_pid", how="inner")
+    rank = F.col("_off") + F.col("_pos") + 1
+    e, acc = None, None
+    for i, q in enumerate(ratios):
+        c = F.floor(F.col("_total") * F.lit(float(q))).cast("long")
         acc = c if acc is None else acc + c
-        cuts.append(acc)
-    days = days.select("_day", "_n", "_start", *[c.alias(f"_cut{i}") for i, c in enumerate(cuts)])
-    # a day is "whole" if no cut falls strictly inside (start, start+n)
-    straddle = F.lit(False)
-    for i in range(len(cuts)):
-        cc = F.col(f"_cut{i}")
-        straddle = straddle | ((F.col("_start") < cc) & (F.col("_start") + F.col("_n") > cc))
-    days = days.withColumn("_straddle", straddle)
-    from eventfeat.operators.joins import bounded_broadcast
-    j = df.withColumn("_day", day).join(bounded_broadcast(days), on="_day", how="left")
-
-    def label(rank_col: Column) -> Column:
-        e = None
-        for i in range(len(cuts)):
-            cond = rank_col <= F.col(f"_cut{i}")
-            e = F.when(cond, names[i]) if e is None else e.when(cond, names[i])
-        return e.otherwise(names[len(cuts)] if len(names) > len(cuts) else None)
-
-    whole = j.filter(~F.col("_straddle")).withColumn(out, label(F.col("_start") + F.col("_n")))
-    edge = j.filter(F.col("_straddle"))
-    rn = F.row_number().over(Window.partitionBy("_day").orderBy(F.col(ts), *[F.col(c) for c in tb]))
-    edge = edge.withColumn(out, label(F.col("_start") + rn))
-    keep = [*df.columns, out]
-    return whole.select(*keep).unionByName(edge.select(*keep))
+        e = F.when(rank <= acc, names[i]) if e is None else e.when(rank <= acc, names[i])
+    e = e.otherwise(names[len(ratios)] if len(names) > len(ratios) else None)
+    return r.withColumn(out, e).select(*df.columns, out)

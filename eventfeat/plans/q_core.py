@@ -225,12 +225,13 @@ def _nearest(spark, d, bucket=None):
 
 @register("j3_nearest_per_key", _NEAREST_SQL)
 def q_j3(spark, d):
-    return _nearest(spark, d)
+    # balance buckets of 100: a nation (25 keys) is spread over ~110 tasks; carry-in
+    # from the nearest non-empty bucket on each side keeps the answer exact
+    return _nearest(spark, d, bucket=100.0)
 
 
 @register("j3_nearest_per_key_bucketed", _NEAREST_SQL)
 def q_j3b(spark, d):
-    # value buckets of 500: hot keys split; carry-in from the nearest non-empty bucket each side
     return _nearest(spark, d, bucket=500.0)
 
 
@@ -362,7 +363,8 @@ def _lag(spark, d, bucket_s=None):
 
 @register("w2_lag_features", _LAG_SQL)
 def q_w2(spark, d):
-    return _lag(spark, d)
+    # yearly buckets: a hot customer's history is split over many tasks
+    return _lag(spark, d, bucket_s=365 * 86400)
 
 
 @register("w2_lag_features_bucketed", _LAG_SQL)
@@ -396,7 +398,7 @@ FROM l"""
 
 @register("w3_safe_lag", _SAFE_SQL)
 def q_w3(spark, d):
-    r = _safe_lag_df(spark, d)
+    r = _safe_lag_df(spark, d, bucket_s=180 * 86400)
     return r.select("o_orderkey", "prev_v_clean", *[F.round(c, R6).alias(c) for c in ("gap_sched_min", "gap_known_min", "gap_known_h")])
 
 
@@ -405,7 +407,7 @@ SELECT event_id, round((floor(epoch(ts)) - floor(epoch(lag(ts) OVER (PARTITION B
 FROM events""")
 def q_w4(spark, d):
     ev = Tables(spark, d).events.select("event_id", "user_id", "ts")
-    r = S.gap_since_prev(ev, "user_id", ["ts", "event_id"], "ts", 60.0, out="gap_min")
+    r = S.gap_since_prev(ev, "user_id", ["ts", "event_id"], "ts", 60.0, out="gap_min", bucket_s=86400)
     return r.select("event_id", F.round("gap_min", R6).alias("gap_min"))
 
 

@@ -142,7 +142,8 @@ SELECT count(*) FILTER (WHERE gap_known_h < 3661 / 3600.0 AND prev_v_clean IS NO
        count(*) FILTER (WHERE gap_known_h < 3661 / 3600.0) AS at_risk_rows, count(*) AS total_rows FROM g""")
 def q_a6(spark, d):
     from eventfeat.plans.q_core import _safe_lag_df
-    return P.leakage_audit(_safe_lag_df(spark, d), "gap_known_h", 3661 / 3600.0, ["prev_v_clean", "gap_known_min"])
+    return P.leakage_audit(_safe_lag_df(spark, d, bucket_s=180 * 86400), "gap_known_h", 3661 / 3600.0,
+                           ["prev_v_clean", "gap_known_min"])
 
 
 @register("a7_median", "SELECT o_orderpriority, quantile_disc(o_totalprice, 0.5) AS median_totalprice "
