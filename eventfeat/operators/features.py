@@ -21,17 +21,18 @@ from pyspark.sql import functions as F
 def fit_index(train: DataFrame, cols: Sequence[str], suffix: str = "_idx") -> PipelineModel:
     """Frequency-ordered category index per column (ties alphabetical);
     unseen and NULL values get the extra index ``len(labels)``."""
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}{suffix}", handleInvalid="keep", stringOrderType="frequencyDesc")
-              for c in cols]
-    return Pipeline(stages=stages).fit(train)
+    cols = list(cols)
+    return Pipeline(stages=[StringIndexer(inputCols=cols, outputCols=[f"{c}{suffix}" for c in cols], handleInvalid="keep",
+                                          stringOrderType="frequencyDesc")]).fit(train)
 
 
 def cardinalities(model: PipelineModel) -> list[tuple[str, int]]:
     """(column, number of labels + 1 for unknown) from fitted indexers."""
     out = []
     for st in model.stages:
-        if hasattr(st, "labels") and hasattr(st, "getInputCol"):
-            out.append((st.getInputCol(), len(st.labels) + 1))
+        if hasattr(st, "labelsArray"):
+            ins = st.getInputCols() if st.isSet("inputCols") else [st.getInputCol()]
+            out += [(c, len(labels) + 1) for c, labels in zip(ins, st.labelsArray)]
     return out
 
 
@@ -55,11 +56,13 @@ def feature_pipeline(spec: FeatureSpec) -> Pipeline:
     num = sorted([c for c in spec.numeric if c not in logs] + [f"{c}{spec.log_suffix}" for c in spec.log_cols])
     raw_sorted = sorted(spec.numeric)
     stages = []
-    ohe = []
-    for c in spec.categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_ohe"))
-        ohe.append(f"{c}_ohe")
+    ohe = [f"{c}_ohe" for c in spec.categorical]
+    if spec.categorical:
+        # one multi-column indexer and one encoder: a single counting pass for all
+        # categorical columns instead of one pass (and one plan layer) per column
+        idx = [f"{c}_idx" for c in spec.categorical]
+        stages.append(StringIndexer(inputCols=list(spec.categorical), outputCols=idx, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe))
     stages.append(VectorAssembler(inputCols=num, outputCol="num_vector", handleInvalid="keep"))
     stages.append(StandardScaler(inputCol="num_vector", outputCol="scaled_num_vector", withStd=True, withMean=spec.with_mean))
     tail = list(spec.binary)

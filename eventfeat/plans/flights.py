@@ -221,8 +221,8 @@ def preprocess(df: DataFrame, fit_rows: DataFrame | None = None, lead_s: int = P
 
     ``fit_rows`` (e.g. the training split) is where the graph and the median are
     fitted; by default all rows, as the source pipeline did."""
-    fit_rows = fit_rows if fit_rows is not None else df
-    edges = G.edge_weights(fit_rows, "ORIGIN", "DEST")
+    fit_given = fit_rows is not None
+    edges = G.edge_weights(fit_rows if fit_given else df, "ORIGIN", "DEST")
     m = G.node_metrics(edges)
     df = J.enrich_roles(df, m.select("node", "pagerank", "out_degree"), "node", {"origin_": "ORIGIN"})
     df = J.enrich_roles(df, m.select("node", "pagerank", "in_degree"), "node", {"dest_": "DEST"})
@@ -242,7 +242,7 @@ def preprocess(df: DataFrame, fit_rows: DataFrame | None = None, lead_s: int = P
     df = df.withColumn("HourlyWindCardinalDirection", N.compass("HourlyWindDirection"))
     df = df.withColumns({"CRS_DEP_TIME_BLOCK": TC.hour_block("CRS_DEP_TIME"), "CRS_ARR_TIME_BLOCK": TC.hour_block("CRS_ARR_TIME")})
     df = C.coerce(df, {**{c: "int" for c in TO_INT}, **{c: "double" for c in TO_DOUBLE}})
-    policy = P.fit_null_policy(preprocess_fit_frame(df, fit_rows), zero=PR.ZERO_FILL, median=PR.MEDIAN_FILL,
+    policy = P.fit_null_policy(preprocess_fit_frame(df, fit_rows) if fit_given else df, zero=PR.ZERO_FILL, median=PR.MEDIAN_FILL,
                                const={"HourlyAltimeterSetting": PR.ALTIMETER_STANDARD})
     df = policy.apply(df)
     df = df.withColumn("ARR_DEL15", N.impute_label("ARR_DEL15", "ACTUAL_ELAPSED_TIME", "CRS_ELAPSED_TIME", 15))
@@ -251,10 +251,8 @@ def preprocess(df: DataFrame, fit_rows: DataFrame | None = None, lead_s: int = P
 
 def preprocess_fit_frame(df: DataFrame, fit_rows: DataFrame) -> DataFrame:
     """Rows the null policy is fitted on: the rows of ``df`` whose FLIGHT_ID is in
-    ``fit_rows`` (so the derived columns exist), or all of ``df``."""
-    if fit_rows is None or set(fit_rows.columns) >= set(df.columns):
-        return df if fit_rows is None else fit_rows.select(*df.columns)
-    return C.restrict_to(df, fit_rows.select("FLIGHT_ID"), "FLIGHT_ID")
+    ``fit_rows`` (so the derived columns exist)."""
+    return C.restrict_to(df, fit_rows.select("FLIGHT_ID").distinct(), "FLIGHT_ID")
 
 
 def leakage_check(df: DataFrame, lead_s: int = PR.LAG_LEAD_S) -> DataFrame:

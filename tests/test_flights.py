@@ -73,40 +73,71 @@ def inputs(spark):
     return build_inputs(spark)
 
 
-def test_pipeline_end_to_end(spark, inputs):
+@pytest.fixture(scope="module")
+def stages(spark, inputs):
     flights, weather, stations, airports, zones = inputs
     fl = FL.clean_flights(flights, FL.calendar(spark)).cache()
+    ap, backup = FL.airport_stations(stations, airports, fl)
+    ap, backup = ap.cache(), backup.cache()
+    full = FL.enrich_and_localize(fl, ap, backup, zones).cache()
+    joined = FL.final_join(full, FL.clean_weather(weather)).cache()
+    pre = FL.preprocess(joined).cache()
+    return {"fl": fl, "ap": ap, "full": full, "joined": joined, "pre": pre}
+
+
+def test_clean_and_airports(stages):
+    fl, ap = stages["fl"], stages["ap"]
     assert fl.count() == 3                      # dup, cancelled and non-US removed
-    ids = {r["FLIGHT_ID"] for r in fl.collect()}
-    assert "2019-07-03_0800_N1_10_JFK_ORD" in ids
-    hol = {r["FLIGHT_ID"][:10]: r["IS_US_HOLIDAY"] for r in fl.collect()}
+    rows = fl.collect()
+    assert "2019-07-03_0800_N1_10_JFK_ORD" in {r["FLIGHT_ID"] for r in rows}
+    hol = {r["FLIGHT_ID"][:10]: r["IS_US_HOLIDAY"] for r in rows}
     assert hol["2019-07-03"] == 1 and hol["2019-07-04"] == 1
-    ap, backup = FL.airport_stations(stations, airports, fl)
     assert {r["iata_code"]: r["station_id"] for r in ap.collect()} == {"JFK": "S_JFK", "ORD": "S_ORD"}
-    full = FL.enrich_and_localize(fl, ap, backup, zones).cache()
+
+
+def test_enrich_and_localize(stages):
+    full = stages["full"]
     r0 = full.filter(F.col("OP_CARRIER_FL_NUM") == 10).first()
     assert r0["STATION"] == "S_JFK" and str(r0["CRS_DEP_DATETIME_UTC"]) == "2019-07-03 12:00:00"   # EDT = UTC-4
     assert str(r0["CRS_ARR_DATETIME_UTC"]) == "2019-07-03 15:00:00"                                # CDT = UTC-5
     r3 = full.filter(F.col("OP_CARRIER_FL_NUM") == 12).first()
     assert str(r3["DEP_DATETIME_UTC"]) == "2019-07-05 04:15:00"  # departed after midnight: next day
     assert r3["ARR_HOUR"] == 24
-    wx = FL.clean_weather(weather)
-    joined = FL.final_join(full, wx).cache()
+
+
+def test_final_join(stages):
+    joined = stages["joined"]
     assert joined.count() == 3
     m = {r["OP_CARRIER_FL_NUM"]: r for r in joined.collect()}
     assert str(m[10]["MATCHED_OBS_TIME_UTC"]) == "2019-07-03 10:51:00" and m[10]["light"] == 1
     assert m[10]["rain_or_drizzle"] == 1 and m[10]["has_bkn"] == 1
     assert str(m[11]["MATCHED_OBS_TIME_UTC"]) == "2019-07-03 16:59:00" and m[11]["reduced_visibility"] == 1
     assert FL.weather_match_rate(joined).first().asDict() == {"matched": 2, "total": 3}
-    pre = FL.preprocess(joined).cache()
+
+
+def test_preprocess(stages):
+    pre = stages["pre"]
     p = {r["OP_CARRIER_FL_NUM"]: r for r in pre.collect()}
     # N1 flight 11 departs 13:00 CDT = 18:00 UTC; the previous leg arrived 15:10 UTC (> 1h01 before): lag kept
     assert p[11]["prev_flight_arr_delay_clean"] == 10.0
     assert p[11]["actual_to_crs_time_to_next_flight_diff_mins_clean"] == pytest.approx(170.0)
     assert p[11]["ARR_DEL15"] == 0                    # imputed: actual - scheduled elapsed = 10 < 15
-    audit = FL.leakage_check(pre).first()
-    assert audit["prev_flight_arr_delay_clean_violations"] == 0
+    assert FL.leakage_check(pre).first()["prev_flight_arr_delay_clean_violations"] == 0
     model = FL.model_table(pre)
     assert len(model.columns) == 58
     assert model.filter(F.col("origin_pagerank").isNull()).count() == 0
     assert p[10]["HourlyWindCardinalDirection"] == "S" and p[12]["HourlyWindCardinalDirection"] == "Calm"
+
+
+def test_splits_folds_and_fold_processing(spark, stages):
+    import datetime as dt
+    from eventfeat.operators.split import rolling_windows
+    pre = stages["pre"]
+    assert {r["split"] for r in FL.train_test(pre, "1y").collect()} == {"train"}   # Jan-Sep 2019 is train
+    span = spark.createDataFrame([(dt.datetime(2019, 1, 1),), (dt.datetime(2019, 9, 30),)], "CRS_DEP_DATETIME_UTC timestamp_ntz")
+    assert rolling_windows(span, "CRS_DEP_DATETIME_UTC", 3, 1, 1).count() == 6
+    model = FL.model_table(pre).withColumn("FLIGHT_ID", F.col("TAIL_NUM"))
+    tr, va, pm, logged = FL.process_fold(model, model, downsample_ratio=None)
+    row = tr.select("log_scaled_features", "log_unscaled_features", "full_unscaled_features").first()
+    assert row[0].size == row[1].size == row[2].size
+    assert va.count() == model.count()
