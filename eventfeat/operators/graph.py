@@ -69,10 +69,14 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
         prev_cached = new if new.is_cached else None
         err, dm = float(st["err"]), float(st["dm"])
         ranks = new.select("node", "dangling", "r")
-        if not fixed_iter and err < n * tol:
-            return ranks.select("node", F.col("r").alias("pagerank"))
-    if fixed_iter:
-        return ranks.select("node", F.col("r").alias("pagerank"))
+        if (not fixed_iter and err < n * tol) or (fixed_iter and it == max_iter):
+            # the result is tiny: cut its lineage once more and release every
+            # intermediate cache so later plans are not matched against them
+            out = cut_lineage(ranks.select("node", F.col("r").alias("pagerank")))
+            for d in (prev_cached, en, nodes):
+                if d is not None:
+                    d.unpersist()
+            return out
     raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
 
 

@@ -75,13 +75,20 @@ def inputs(spark):
 
 @pytest.fixture(scope="module")
 def stages(spark, inputs):
+    """Each stage is written as parquet and read back, as between the source's
+    notebooks: plans stay short and every stage survives executor loss."""
+    from eventfeat.sources import io as IO
+
+    def stage(df, name):
+        return spark.read.parquet(IO.write_stage(df, IO.scratch_path(spark, name)))
+
     flights, weather, stations, airports, zones = inputs
-    fl = FL.clean_flights(flights, FL.calendar(spark)).cache()
+    fl = stage(FL.clean_flights(flights, FL.calendar(spark)), "fl")
     ap, backup = FL.airport_stations(stations, airports, fl)
-    ap, backup = ap.cache(), backup.cache()
-    full = FL.enrich_and_localize(fl, ap, backup, zones).cache()
-    joined = FL.final_join(full, FL.clean_weather(weather)).cache()
-    pre = FL.preprocess(joined).cache()
+    ap, backup = stage(ap, "ap"), stage(backup, "backup")
+    full = stage(FL.enrich_and_localize(fl, ap, backup, zones), "full")
+    joined = stage(FL.final_join(full, FL.clean_weather(weather)), "final_join")
+    pre = stage(FL.preprocess(joined), "preprocessed")
     return {"fl": fl, "ap": ap, "full": full, "joined": joined, "pre": pre}
 
 
