@@ -84,7 +84,10 @@ def _neighbour(
         bexpr = F.floor(_numeric_of(F.col("_t"), t_type) / float(bucket_width)).cast("long")
     else:
         bexpr = F.lit(0).cast("long")
-    L = L.withColumn("_b", bexpr)
+    # rows that can never match (NULL key or ordering value) arrive with NULL keys
+    # and a hash-spread bucket in ``_nb``: they ride along in the same shuffle,
+    # spread over many partitions, and meet no candidate there
+    L = L.withColumn("_b", F.coalesce(F.col("_nb"), bexpr) if "_nb" in L.columns else bexpr)
     R = R.withColumn("_b", bexpr)
 
     # Right rows: _s = 0 before queries at equal value (inclusive), 2 after (strict).
@@ -116,7 +119,7 @@ def _neighbour(
             # one window pass over (summary rows + left-bucket markers) per key gives
             # both carries: markers sort before the summary row of their own bucket,
             # so running last() sees strictly earlier (or, descending, later) buckets
-            marks = L.select(*keys, "_b").distinct()
+            marks = (L.filter(F.col("_nb").isNull()) if "_nb" in L.columns else L).select(*keys, "_b").distinct()
             st = summary.schema
             sides = [c for c in ("_last", "_first") if c in st.fieldNames()]
             x = summary.select(*keys, "_b", F.lit(1).alias("_o"), *sides).unionByName(
@@ -158,6 +161,26 @@ def _neighbour(
     return U.filter(F.col("_s") == 1).select("_l", *out_cols)
 
 
+NULL_SPREAD = 1024  # buckets over which never-matching (NULL key) rows are spread
+
+
+def _left_frame(left: DataFrame, by: list[str], order_col: Column, lcols: list[str]) -> DataFrame:
+    """``__k*``, ``_t``, ``_l``, ``_nb`` for the query side, in one pass: rows with a
+    NULL key or ordering value get NULL keys and a spread bucket instead of being
+    split off into a second scan of ``left``."""
+    ok = F.lit(True)
+    for c in by:
+        ok = ok & F.col(c).isNotNull()
+    ok = ok & order_col.isNotNull()
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in lcols]), F.lit(NULL_SPREAD)).cast("long")
+    return left.select(
+        *[F.when(ok, F.col(c)).alias(_KEY.format(i)) for i, c in enumerate(by)],
+        F.when(ok, order_col).alias("_t"),
+        F.struct(*[F.col(c) for c in lcols]).alias("_l"),
+        F.when(~ok, -1 - spread).alias("_nb"),
+    )
+
+
 def _orderable_neg(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType))
 
@@ -208,21 +231,12 @@ def asof_join(
     left2 = left.withColumn(target_col, target)
     lcols = left2.columns
 
-    key_ok = F.lit(True)
-    for c in by:
-        key_ok = key_ok & F.col(c).isNotNull()
-    key_ok = key_ok & F.col(target_col).isNotNull()
-
     r_ok = F.lit(True)
     for c in right_by:
         r_ok = r_ok & F.col(c).isNotNull()
     r_ok = r_ok & F.col(right_ts).isNotNull()
 
-    L = left2.filter(key_ok).select(
-        *[F.col(c).alias(_KEY.format(i)) for i, c in enumerate(by)],
-        F.col(target_col).alias("_t"),
-        F.struct(*[F.col(c) for c in lcols]).alias("_l"),
-    )
+    L = _left_frame(left2, by, F.col(target_col), lcols)
     tb = F.col(tiebreak) if tiebreak else F.lit(0).cast("long")
     R = right.filter(r_ok).select(
         *[F.col(c).cast(left.schema[by[i]].dataType).alias(_KEY.format(i)) for i, c in enumerate(right_by)],
@@ -237,18 +251,11 @@ def asof_join(
     if tolerance_s is not None:
         ok = ok & (m["__t"] >= F.col("_l")[target_col] - _interval(tolerance_s))
     r_fields = [prefix + c for c in right_cols]
-    r_types = {prefix + c: right.schema[c].dataType for c in right_cols}
-    matched = res.select(
+    return res.select(
         "_l.*",
         F.when(ok, m["__t"]).cast(lt_type).alias(matched_col),
         *[F.when(ok, m["__r"][f]).alias(f) for f in r_fields],
     )
-    unkeyed = left2.filter(~key_ok).select(
-        *lcols,
-        F.lit(None).cast(lt_type).alias(matched_col),
-        *[F.lit(None).cast(r_types[f]).alias(f) for f in r_fields],
-    )
-    return matched.unionByName(unkeyed)
 
 
 def match_rate(df: DataFrame, col: str) -> DataFrame:
@@ -285,20 +292,12 @@ def nearest_per_key(
         cand_cols = [c for c in cands.columns if c not in set(cand_by)]
     cand_cols = list(cand_cols)
     lcols = left.columns
-    key_ok = F.lit(True)
-    for c in by:
-        key_ok = key_ok & F.col(c).isNotNull()
-    key_ok = key_ok & F.col(left_value).isNotNull()
     ck = F.lit(True)
     for c in cand_by:
         ck = ck & F.col(c).isNotNull()
     ck = ck & F.col(cand_value).isNotNull()
 
-    L = left.filter(key_ok).select(
-        *[F.col(c).alias(_KEY.format(i)) for i, c in enumerate(by)],
-        F.col(left_value).cast("double").alias("_t"),
-        F.struct(*[F.col(c) for c in lcols]).alias("_l"),
-    )
+    L = _left_frame(left, by, F.col(left_value).cast("double"), lcols)
     R = cands.filter(ck).select(
         *[F.col(c).cast(left.schema[by[i]].dataType).alias(_KEY.format(i)) for i, c in enumerate(cand_by)],
         F.col(cand_value).cast("double").alias("_t"),
@@ -318,9 +317,5 @@ def nearest_per_key(
     if max_distance is not None:
         ok = ok & (dist <= float(max_distance))
     fields = [prefix + c for c in cand_cols]
-    ctypes = {prefix + c: cands.schema[c].dataType for c in cand_cols}
-    out = res.select("_l.*", *[F.when(ok, pick["__r"][f]).alias(f) for f in fields],
-                     F.when(ok, dist).alias(distance_col))
-    rest = left.filter(~key_ok).select(*lcols, *[F.lit(None).cast(ctypes[f]).alias(f) for f in fields],
-                                       F.lit(None).cast("double").alias(distance_col))
-    return out.unionByName(rest)
+    return res.select("_l.*", *[F.when(ok, pick["__r"][f]).alias(f) for f in fields],
+                      F.when(ok, dist).alias(distance_col))

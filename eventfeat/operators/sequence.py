@@ -43,18 +43,19 @@ def lag_features(df: DataFrame, by: str | Sequence[str], order: str | Sequence[s
     for c in by:
         key_ok = key_ok & F.col(c).isNotNull()
     rec = F.struct(*[F.col(c).alias(c) for c in cols])
-    names = [prefix + c for c in cols]
-    types = {c: df.schema[c].dataType for c in cols}
-    keyed = df.filter(key_ok)
-    nulls = df.filter(~key_ok).select("*", *[F.lit(None).cast(types[c]).alias(prefix + c) for c in cols])
+    # NULL entities stay in the same pass (no second scan of df) but are spread over
+    # many partitions and never receive a lag
+    spread = F.when(~key_ok, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024))).otherwise(F.lit(-1))
+    base = df.withColumn("_ok", key_ok).withColumn("_sp", spread.cast("long"))
 
     if bucket_s is None:
-        w = Window.partitionBy(*by).orderBy(*order)
-        out = keyed.withColumn("_prev", F.lag(rec, 1).over(w))
+        w = Window.partitionBy(*by, "_sp").orderBy(*order)
+        out = base.withColumn("_prev", F.lag(rec, 1).over(w))
     else:
         b = F.floor(epoch_seconds(F.col(order[0])) / float(bucket_s)).cast("long")
-        kb = keyed.withColumn("_b", b)
-        summary = kb.groupBy(*by, "_b").agg(F.max_by(rec, F.struct(*[F.col(c) for c in order])).alias("_last"))
+        kb = base.withColumn("_b", F.when(F.col("_ok"), b).otherwise(F.col("_sp")))
+        summary = (kb.filter(F.col("_ok")).groupBy(*by, "_b")
+                   .agg(F.max_by(rec, F.struct(*[F.col(c) for c in order])).alias("_last")))
         carry = (summary.withColumn("_carry", F.lag("_last", 1).over(Window.partitionBy(*by).orderBy("_b")))
                  .filter(F.col("_carry").isNotNull()).select(*by, "_b", "_carry"))
         w = Window.partitionBy(*by, "_b").orderBy(*order)
@@ -62,8 +63,8 @@ def lag_features(df: DataFrame, by: str | Sequence[str], order: str | Sequence[s
                .join(carry, on=[*by, "_b"], how="left")
                .withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_carry")))
                .drop("_carry", "_b"))
-    out = out.select(*df.columns, *[F.col("_prev")[c].alias(prefix + c) for c in cols])
-    return out.unionByName(nulls.select(*df.columns, *names))
+    prev = F.when(F.col("_ok"), F.col("_prev"))
+    return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])
 
 
 def safe_lag(df: DataFrame, by, order, ts: str, value: str, known_at: str, lead_s: float = 3661,
