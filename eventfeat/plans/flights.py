@@ -290,3 +290,47 @@ def process_fold(train: DataFrame, val: DataFrame, target: str = "ARR_DEL15", do
     if downsample_ratio is not None:
         tr = V.downsample(tr, target, "FLIGHT_ID", target_ratio=downsample_ratio, seed=seed)
     return tr, va, pm, sk.cols
+
+
+_STAGE_SUFFIX = {"3m": "3m", "6m": "6m", "1y": "1y", "5y": "all"}
+
+
+def run_stages(spark, flights_path: str, weather_path: str, stations_path: str, airports_csv: str, zones: DataFrame,
+               out_root: str, horizon: str = "5y", fit_on_train: bool = True) -> dict[str, str]:
+    """Run every stage, writing parquet between stages (each stage restarts from
+    short, reliable lineage and survives executor loss):
+
+    ``final_join`` (100 files by date + carrier) -> ``preprocessed`` ->
+    ``train_test/split=*`` -> ``rolling_windows/fold=*/role=*`` ->
+    ``processed/fold=*/role=*``.  Returns the written paths."""
+    from eventfeat.sources import io as IO
+
+    sfx = _STAGE_SUFFIX[horizon]
+    path = {name: IO.stage_path(out_root, name, sfx) for name in
+            ("weather_clean", "final_join", "preprocessed", "train_test", "rolling_windows", "processed")}
+    fl = clean_flights(spark.read.parquet(flights_path), calendar(spark))
+    ap, backup = airport_stations(spark.read.parquet(stations_path), IO.read_csv(spark, airports_csv), fl)
+    full = enrich_and_localize(fl, ap, backup, zones)
+    IO.write_stage(clean_weather(spark.read.parquet(weather_path)), path["weather_clean"])
+    wx = spark.read.parquet(path["weather_clean"])
+    IO.write_stage(final_join(full, wx), path["final_join"], n=OUTPUT_FILES, keys=OUTPUT_KEYS)
+    joined = spark.read.parquet(path["final_join"])
+    fit_rows = train_test(joined, horizon).filter(F.col("split") == "train") if fit_on_train else None
+    IO.write_stage(preprocess(joined, fit_rows=fit_rows), path["preprocessed"])
+    pre = spark.read.parquet(path["preprocessed"])
+    IO.write_stage(train_test(pre, horizon), path["train_test"], partition_by=["split"])
+    train = IO.read_partition(spark, path["train_test"], split="train").drop("split")
+    ts = "CRS_DEP_DATETIME_UTC"
+    folds = V.rolling_windows(train, ts, *V.ROLLING[horizon])
+    fold_ids = [r["fold"] for r in folds.select("fold").collect()]   # a handful of folds
+    if fold_ids:
+        IO.write_stage(V.assign_folds(train, ts, folds), path["rolling_windows"], partition_by=["fold", "role"])
+        windows = spark.read.parquet(path["rolling_windows"])
+        for fold in fold_ids:
+            part = windows.filter(F.col("fold") == fold)
+            tr, va, _, _ = process_fold(part.filter(F.col("role") == "train").drop("fold", "role"),
+                                        part.filter(F.col("role") == "val").drop("fold", "role"))
+            IO.write_stage(tr, f"{path['processed']}/fold={fold}/role=train")
+            IO.write_stage(va, f"{path['processed']}/fold={fold}/role=val")
+    return path
+

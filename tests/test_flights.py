@@ -148,3 +148,24 @@ def test_splits_folds_and_fold_processing(spark, stages):
     row = tr.select("log_scaled_features", "log_unscaled_features", "full_unscaled_features").first()
     assert row[0].size == row[1].size == row[2].size
     assert va.count() == model.count()
+
+
+def test_run_stages_writes_every_stage(spark, inputs):
+    import os
+    from eventfeat.sources import io as IO
+    flights, weather, stations, airports, zones = inputs
+    root = IO.scratch_path(spark, "run")
+    src = {}
+    for name, df in (("flights", flights), ("weather", weather), ("stations", stations)):
+        src[name] = f"{root}/in/{name}"
+        df.write.parquet(src[name])
+    src["airports"] = f"{root}/in/airports_csv"
+    airports.write.option("header", True).csv(src["airports"])
+    paths = FL.run_stages(spark, src["flights"], src["weather"], src["stations"], src["airports"], zones,
+                          f"{root}/fasw", horizon="1y")
+    assert spark.read.parquet(paths["final_join"]).count() == 3
+    assert spark.read.parquet(paths["preprocessed"]).count() == 3
+    tt = spark.read.parquet(paths["train_test"])
+    assert {r["split"] for r in tt.select("split").distinct().collect()} == {"train"}
+    assert paths["final_join"].endswith("fasw_1y/final_join")
+    assert not os.path.exists(paths["processed"].replace("file:", ""))   # no fold fits in 2 days of data
