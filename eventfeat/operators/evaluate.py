@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventfeat.functions.numeric import focal_loss
 
-SCORE_BUCKETS = 4096
+SCORE_BUCKETS = 256
 
 
 def _grp(by) -> list[str]:
@@ -53,6 +53,22 @@ def _threshold_metrics(c: DataFrame) -> DataFrame:
     })
 
 
+def _with_score_bucket(per: DataFrame, s: str, out: str, buckets: int) -> DataFrame:
+    """Order-preserving bucket of a score.  Boundaries are approximate quantiles of
+    the distinct scores (one sketch pass), applied with ``Bucketizer`` (binary
+    search in the JVM), so buckets hold similar numbers of distinct scores however
+    the scores cluster; the prefix sums built on them stay exact."""
+    from pyspark.ml.feature import Bucketizer
+
+    qs = per.approxQuantile(s, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
+    inner = sorted(set(float(q) for q in qs if q is not None))
+    splits = [float("-inf"), *inner, float("inf")]
+    if len(splits) < 3:
+        return per.withColumn(out, F.lit(0).cast("long"))
+    b = Bucketizer(splits=splits, inputCol=s, outputCol=out, handleInvalid="keep")
+    return b.transform(per).withColumn(out, F.col(out).cast("long"))
+
+
 def _curve(df: DataFrame, y: str, score: str, by=None, buckets: int = SCORE_BUCKETS) -> DataFrame:
     """Per distinct score (desc): cumulative tp/fp including and excluding it,
     plus group totals P, N."""
@@ -60,7 +76,7 @@ def _curve(df: DataFrame, y: str, score: str, by=None, buckets: int = SCORE_BUCK
     yy = F.col(y).cast("double")
     per = df.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(yy == 1).alias("_p"), F.count_if(yy != 1).alias("_n"))
-    per = per.withColumn("_bk", F.floor(F.col("_s") * buckets).cast("long"))
+    per = _with_score_bucket(per, "_s", "_bk", buckets)
     bt = per.groupBy(*g, "_bk").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
     wb = Window.partitionBy(*g).orderBy(F.col("_bk").desc()) if g else Window.partitionBy(F.lit(1)).orderBy(F.col("_bk").desc())
     wall = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))
