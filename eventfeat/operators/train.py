@@ -41,3 +41,34 @@ def score(model, df: DataFrame, prob_col: str = "prob_pos") -> DataFrame:
     Python UDF (``vector_to_array(probability)[1]``)."""
     out = model.transform(df)
     return out.withColumn(prob_col, vector_to_array(F.col("probability"))[1])
+
+
+def train_per_fold(windows: DataFrame, spec, label: str, arch: str = "mlp1", fold_col: str = "fold",
+                   role_col: str = "role", features: str = "log_scaled_features", threshold: float = 0.5,
+                   max_iter: int = MAX_ITER) -> DataFrame:
+    """E11 + E13 per fold: for every fold of a ``(fold, role)``-tagged table, fit the
+    feature pipeline and the MLP on its train rows (refit per fold), score its train
+    and val rows, and compute all metrics for every (fold, role) in one grouped
+    aggregate over the union of scored rows.  Only the fold ids (a handful) reach
+    the driver."""
+    from eventfeat.functions.numeric import classify
+    from eventfeat.operators.evaluate import classification_metrics
+    from eventfeat.operators.features import feature_pipeline
+
+    a = ARCH[arch]
+    fold_ids = sorted(r[0] for r in windows.select(fold_col).distinct().collect())
+    scored = None
+    for f in fold_ids:
+        part = windows.filter(F.col(fold_col) == f)
+        tr = part.filter(F.col(role_col) == "train")
+        va = part.filter(F.col(role_col) == "val")
+        pm = feature_pipeline(spec).fit(tr)
+        model = train_mlp(pm.transform(tr), features, label, hidden=a["hidden"], step_size=a["step_size"], max_iter=max_iter)
+        for role, d in (("train", tr), ("val", va)):
+            s = score(model, pm.transform(d)).select(F.lit(f).alias(fold_col), F.lit(role).alias(role_col),
+                                                     F.col(label).cast("double").alias(label), "prob_pos")
+            scored = s if scored is None else scored.unionByName(s)
+    if scored is None:
+        return windows.sparkSession.createDataFrame([], f"{fold_col} int, {role_col} string")
+    scored = scored.withColumn("_pred", classify("prob_pos", threshold))
+    return classification_metrics(scored, label, "_pred", "prob_pos", by=[fold_col, role_col])

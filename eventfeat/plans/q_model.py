@@ -189,6 +189,15 @@ def q_e11(spark, d):
     return _train_and_score(spark, d, reload=False)
 
 
+@register("e11_train_per_fold")
+def q_e11f(spark, d):
+    from eventfeat.operators.split import assign_folds, rolling_windows
+    from eventfeat.operators.train import train_per_fold
+    df = _model_frame(spark, d).filter(_is_train())
+    windows = assign_folds(df, "o_orderdate", rolling_windows(df, "o_orderdate", 24, 12, 12))
+    return train_per_fold(windows, _SPEC, "y", arch="mlp2")
+
+
 @register("e12_score_reloaded")
 def q_e12(spark, d):
     return _train_and_score(spark, d, reload=True)
