@@ -41,3 +41,13 @@ def test_entry_and_registry(spark):
     assert {"event_id", "matched_ts", "view_event_id"} <= set(df.columns)
     assert set(ORACLE) <= set(QUERIES)
     assert not any(n.startswith("op") for n in QUERIES)
+
+
+def test_known_values_at_sf001(spark):
+    """Values recorded while surveying (FIXTURES.md section C)."""
+    from pyspark.sql import functions as F
+    d = "/root/testdata/sf0.01"
+    r = QUERIES["j7_asof_join"](spark, d).agg(F.count("*"), F.count("matched_ts"), F.sum("view_event_id")).first()
+    assert tuple(r) == (1981, 256, 1266518)
+    assert QUERIES["j1x_near_date_join"](spark, d).count() == 15140   # fan-out near Dec 24 + Dec 25
+    assert QUERIES["v2_rolling_windows"](spark, d).count() == 2       # 24/12/12-month folds on 4 years
