@@ -156,7 +156,7 @@ _SPEC = FE.FeatureSpec(numeric=["o_totalprice", "o_custkey_d"], categorical=["o_
                        binary=["odd_key"], log_cols=["o_totalprice"])
 
 
-@register("e5_feature_pipeline")
+@register("e5_feature_vectors")
 def q_e5(spark, d):
     df = _model_frame(spark, d)
     pm = FE.feature_pipeline(_SPEC).fit(df.filter(_is_train()))

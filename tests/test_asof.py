@@ -110,3 +110,28 @@ def test_top1_is_latest(spark):
     pdf = pd.DataFrame([r for r in rows if r[1] is not None], columns=["id", "k", "ts", "v"])
     exp = {k: g.sort_values(["ts", "id"]).id.iloc[-1] for k, g in pdf.groupby("k")}
     assert got == exp
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """One key with 40% of the rows: with time buckets no shuffle partition of the
+    as-of join holds more than a small share of the rows; without, one does."""
+    rnd = random.Random(11)
+    rows = [(i, 0 if rnd.random() < 0.4 else rnd.randint(1, 500), T0 + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60)), 0.0)
+            for i in range(20000)]
+    sch = "id long, k long, ts timestamp_ntz, v double"
+    df = spark.createDataFrame(rows, sch)
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        def max_share(bucket):
+            r = asof_join(df, df.select("k", "ts", F.col("id").alias("rid")), "k", "ts", "ts", offset_s=60,
+                          tolerance_s=None if bucket is None else 6 * 3600, right_cols=["rid"], bucket_s=bucket)
+            # rows per output partition of the window stage (the shuffle on (key, bucket))
+            sizes = r.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+            return max(sizes) / len(rows)
+        assert max_share(6 * 3600) < 0.05
+        assert max_share(None) > 0.35
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
