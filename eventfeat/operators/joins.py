@@ -145,7 +145,8 @@ def zone_lookup(points: DataFrame, zones: DataFrame, point_key: str | Sequence[s
     Grid-cell equi-join: each reference point is copied into every cell its
     ``max_km`` disc can touch (more longitude cells towards the poles), points join
     on their own cell, and ``min_by`` keeps the nearest (ties: smallest id).  Exact
-    for the radius; no point x zone product beyond the neighbouring cells."""
+    for the radius; no point x zone product beyond the neighbouring cells.  ``point_key``
+    must identify a point (one output row per key)."""
     keys = [point_key] if isinstance(point_key, str) else list(point_key)
     lat_span = max_km / KM_PER_DEG_LAT
     n_lat = int(math.ceil(lat_span / cell_deg))
@@ -172,9 +173,10 @@ def zone_lookup(points: DataFrame, zones: DataFrame, point_key: str | Sequence[s
     d = haversine_km(F.col("_plat"), F.col("_plon"), F.col("_zlat"), F.col("_zlon"))
     j = j.withColumn("_d", F.when(d <= max_km, d))
     pcols = points.columns
+    # one pass over the points: each point's row rides along in the grouped aggregate
+    # (candidates beyond the radius have a NULL ordering and are ignored by min_by)
     best = F.min_by(F.struct(F.col("_zid").alias(zone_id), *[F.col(c) for c in zone_cols], F.col("_d").alias(distance_col)),
-                    F.struct(F.col("_d"), F.col("_zid")))
-    g = (j.filter(F.col("_d").isNotNull())
-         .groupBy(*keys).agg(best.alias("_best")))
-    return (points.join(g, on=keys, how="left")
-            .select(*pcols, *[F.col("_best")[c].alias(c) for c in [zone_id, *zone_cols, distance_col]]))
+                    F.when(F.col("_d").isNotNull(), F.struct(F.col("_d"), F.col("_zid"))))
+    g = j.groupBy(*keys).agg(F.first(F.struct(*[F.col(c) for c in pcols])).alias("_p"), best.alias("_best"))
+    return g.select(*[F.col("_p")[c].alias(c) for c in pcols],
+                    *[F.col("_best")[c].alias(c) for c in [zone_id, *zone_cols, distance_col]])
