@@ -135,3 +135,23 @@ def test_hot_key_is_spread_over_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_hot_entity_lag_is_spread(spark):
+    rnd = random.Random(12)
+    rows = [(i, 0 if rnd.random() < 0.4 else rnd.randint(1, 500), T0 + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60)), 0.0)
+            for i in range(20000)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v double")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        def max_share(bucket):
+            r = lag_features(df, "k", ["ts", "id"], ["id"], bucket_s=bucket)
+            sizes = r.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+            return max(sizes) / len(rows)
+        assert max_share(86400.0) < 0.05
+        assert max_share(None) > 0.35
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
