@@ -48,7 +48,10 @@ def rolling_windows(df: DataFrame, ts: str, train_months: int, val_months: int,
     span = df.agg(F.min(F.to_date(F.col(ts))).alias("d0"), F.max(F.to_date(F.col(ts))).alias("d1"))
     k = F.explode(F.sequence(F.lit(0), F.lit(1200))).alias("k")
     f = span.select("d0", "d1", k)
-    vs = F.add_months(F.col("d0"), F.lit(train_months) + F.col("k") * step_months)
+    # the step is added to the previous validation start, so month-end clipping
+    # accumulates exactly as repeated calendar-month addition does (Jan 31 -> Feb 28 -> Mar 28)
+    vs = F.aggregate(F.array_repeat(F.lit(0), F.col("k").cast("int")), F.add_months(F.col("d0"), train_months),
+                     lambda acc, _: F.add_months(acc, step_months))
     f = f.select(
         (F.col("k") + 1).cast("int").alias("fold"),
         F.add_months(vs, -train_months).alias("train_start"),

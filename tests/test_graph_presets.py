@@ -57,3 +57,14 @@ def test_rolling_fold_counts(spark, train, val, step, expected):
     a, b = spans[train]
     df = spark.createDataFrame([(dt.datetime.fromisoformat(a),), (dt.datetime.fromisoformat(b),)], "ts timestamp_ntz")
     assert rolling_windows(df, "ts", train, val, step).count() == expected
+
+
+def test_rolling_folds_accumulate_month_end_clipping(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2019, 1, 31),), (dt.datetime(2019, 8, 30),)], "ts timestamp_ntz")
+    rows = [(r["fold"], str(r["train_start"]), str(r["val_start"]), str(r["val_end"]))
+            for r in rolling_windows(df, "ts", 1, 1, 1).orderBy("fold").collect()]
+    # val starts: Jan31+1m = Feb28, +1m = Mar28, +1m = Apr28 ... (clipping carried forward)
+    assert rows[0] == (1, "2019-01-28", "2019-02-28", "2019-03-28")
+    assert rows[1] == (2, "2019-02-28", "2019-03-28", "2019-04-28")
+    assert len(rows) == 6
