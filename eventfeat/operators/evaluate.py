@@ -53,14 +53,16 @@ def _threshold_metrics(c: DataFrame) -> DataFrame:
     })
 
 
-def _with_score_bucket(per: DataFrame, s: str, out: str, buckets: int) -> DataFrame:
+def _with_score_bucket(per: DataFrame, s: str, out: str, buckets: int, source: DataFrame | None = None,
+                       source_col: str | None = None) -> DataFrame:
     """Order-preserving bucket of a score.  Boundaries are approximate quantiles of
     the distinct scores (one sketch pass), applied with ``Bucketizer`` (binary
     search in the JVM), so buckets hold similar numbers of distinct scores however
     the scores cluster; the prefix sums built on them stay exact."""
     from pyspark.ml.feature import Bucketizer
 
-    qs = per.approxQuantile(s, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
+    src, col = (source, source_col) if source is not None else (per, s)
+    qs = src.approxQuantile(col, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
     inner = sorted(set(float(q) for q in qs if q is not None))
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
@@ -76,7 +78,9 @@ def _curve(df: DataFrame, y: str, score: str, by=None, buckets: int = SCORE_BUCK
     yy = F.col(y).cast("double")
     per = df.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(yy == 1).alias("_p"), F.count_if(yy != 1).alias("_n"))
-    per = _with_score_bucket(per, "_s", "_bk", buckets)
+    # boundaries from the raw score column: one sketch pass, no extra aggregation
+    per = _with_score_bucket(per, "_s", "_bk", buckets, source=df.select(F.col(score).cast("double").alias("_q")),
+                             source_col="_q")
     bt = per.groupBy(*g, "_bk").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
     wb = Window.partitionBy(*g).orderBy(F.col("_bk").desc()) if g else Window.partitionBy(F.lit(1)).orderBy(F.col("_bk").desc())
     wall = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))
