@@ -63,15 +63,16 @@ def rolling_windows(df: DataFrame, ts: str, train_months: int, val_months: int,
 
 def assign_folds(df: DataFrame, ts: str, folds: DataFrame, fold_col: str = "fold", role_col: str = "role") -> DataFrame:
     """V3: tag each row with every ``(fold, role)`` it belongs to: ``train`` if
-    train_start <= ts < val_start, ``val`` if val_start <= ts < val_end.  The fold
-    table is tiny and broadcast (size checked); rows in no fold are dropped."""
-    dt = df.schema[ts].dataType
-    fl = bounded_broadcast(folds.select(F.col("fold").alias(fold_col), F.col("train_start").cast(dt).alias("_a"),
-                                        F.col("val_start").cast(dt).alias("_b"), F.col("val_end").cast(dt).alias("_c")),
-                           max_rows=10_000)
-    c = F.col(ts)
-    j = df.join(fl, (c >= F.col("_a")) & (c < F.col("_c")), "inner")
-    return j.withColumn(role_col, F.when(c < F.col("_b"), "train").otherwise("val")).drop("_a", "_b", "_c")
+    train_start <= ts < val_start, ``val`` if val_start <= ts < val_end; rows in no
+    fold are dropped.  Fold bounds are dates, so each fold is expanded to the days
+    it covers (a table of days x folds, size-checked before broadcasting) and rows
+    join on their date: an equi-join, never a nested loop."""
+    days = folds.select(
+        F.col("fold").alias(fold_col), F.col("val_start").cast("date").alias("_vs"),
+        F.explode(F.sequence(F.col("train_start").cast("date"), F.date_sub(F.col("val_end").cast("date"), 1))).alias("_day"))
+    days = days.select(fold_col, "_day", F.when(F.col("_day") < F.col("_vs"), "train").otherwise("val").alias(role_col))
+    j = df.join(bounded_broadcast(days), F.to_date(F.col(ts)) == F.col("_day"), "inner")
+    return j.drop("_day")
 
 
 def year_split(df: DataFrame, ts: str, mapping: Mapping[str, Sequence[int]], out: str = "split") -> DataFrame:
