@@ -172,7 +172,7 @@ def _left_frame(left: DataFrame, by: list[str], order_col: Column, lcols: list[s
     for c in by:
         ok = ok & F.col(c).isNotNull()
     ok = ok & order_col.isNotNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in lcols]), F.lit(NULL_SPREAD)).cast("long")
+    spread = F.pmod(_row_hash(left, lcols), F.lit(NULL_SPREAD)).cast("long")
     return left.select(
         *[F.when(ok, F.col(c)).alias(_KEY.format(i)) for i, c in enumerate(by)],
         F.when(ok, order_col).alias("_t"),
@@ -181,6 +181,22 @@ def _left_frame(left: DataFrame, by: list[str], order_col: Column, lcols: list[s
     )
 
 
+def _hashable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _hashable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_hashable(f.dataType) for f in dt.fields)
+    return True
+
+
+def _row_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    """xxhash64 over the hashable columns (map types are not hashable)."""
+    ok = [F.col(f"`{c}`") for c in cols if _hashable(df.schema[c].dataType)]
+    return F.xxhash64(*ok) if ok else F.lit(0).cast("long")
+
+
 def _orderable_neg(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType))
 

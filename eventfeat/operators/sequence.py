@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventfeat.functions.timecols import epoch_seconds
+from eventfeat.operators.asof import _row_hash
 
 
 def _list(x) -> list:
@@ -45,7 +46,7 @@ def lag_features(df: DataFrame, by: str | Sequence[str], order: str | Sequence[s
     rec = F.struct(*[F.col(c).alias(c) for c in cols])
     # NULL entities stay in the same pass (no second scan of df) but are spread over
     # many partitions and never receive a lag
-    spread = F.when(~key_ok, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024))).otherwise(F.lit(-1))
+    spread = F.when(~key_ok, F.pmod(_row_hash(df, df.columns), F.lit(1024))).otherwise(F.lit(-1))
     base = df.withColumn("_ok", key_ok).withColumn("_sp", spread.cast("long"))
 
     if bucket_s is None:

@@ -155,3 +155,12 @@ def test_hot_entity_lag_is_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_map_columns_and_null_keys_pass_through(spark):
+    df = spark.createDataFrame([(1, None, T0, {"a": 1}), (2, 5, T0, {"b": 2})], "id long, k long, ts timestamp_ntz, m map<string,int>")
+    r = asof_join(df, df.select("k", "ts", F.col("id").alias("rid")), "k", "ts", "ts", right_cols=["rid"])
+    got = {x["id"]: x["rid"] for x in r.collect()}
+    assert got == {1: None, 2: 2}
+    lg = {x["id"]: x["prev_id"] for x in lag_features(df, "k", ["ts", "id"], ["id"]).collect()}
+    assert lg == {1: None, 2: None}
