@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from eventfeat.session import cut_lineage
 
+EDGES_PER_PARTITION = 1_000_000
+
 
 def edge_weights(df: DataFrame, src: str, dst: str, weight: str = "weight") -> DataFrame:
     """A1: directed edge list with weight = number of rows per (src, dst)."""
@@ -41,11 +43,19 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
     # (e.g. a join over the fact table) runs a single time
     e = cut_lineage(edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
                     .select("src", "dst", F.col(weight).cast("double").alias("w")))
+    # size the iteration to the graph, not to spark.sql.shuffle.partitions: about
+    # one partition per million edges (a count of the checkpointed edge list is cheap)
+    m = e.count()
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), m // EDGES_PER_PARTITION + 1))
+    # edges hash-partitioned by src and ranks by node with the same width: the
+    # per-iteration join needs no exchange and the contributions one (by dst)
     outw = e.groupBy("src").agg(F.sum("w").alias("_ow"))
-    en = e.join(outw, on="src").select("src", "dst", (F.col("w") / F.col("_ow")).alias("p")).cache()
+    en = (e.join(outw, on="src").select("src", "dst", (F.col("w") / F.col("_ow")).alias("p"))
+          .repartition(parts, "src").cache())
     nodes = (e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
              .join(outw.select(F.col("src").alias("node"), F.lit(False).alias("_dangling")), "node", "left")
-             .select("node", F.coalesce("_dangling", F.lit(True)).alias("dangling"))).cache()
+             .select("node", F.coalesce("_dangling", F.lit(True)).alias("dangling"))
+             .repartition(parts, "node").cache())
     st = nodes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("dangling").cast("long")).alias("nd")).first()
     n = int(st["n"])
     if n == 0:
@@ -55,7 +65,9 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
     prev_cached = None
     for it in range(1, max_iter + 1):
         contrib = (en.join(ranks.select(F.col("node").alias("src"), "r"), on="src")
-                   .groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("r") * F.col("p")).alias("_in")))
+                   .select(F.col("dst").alias("node"), (F.col("r") * F.col("p")).alias("_c"))
+                   .repartition(parts, "node")
+                   .groupBy("node").agg(F.sum("_c").alias("_in")))
         new = (ranks.join(contrib, on="node", how="left")
                .select("node", "dangling", F.col("r").alias("_old"),
                        (F.lit(alpha) * (F.coalesce(F.col("_in"), F.lit(0.0)) + F.lit(dm / n))
