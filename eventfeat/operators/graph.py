@@ -49,13 +49,13 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), m // EDGES_PER_PARTITION + 1))
     # edges hash-partitioned by src and ranks by node with the same width: the
     # per-iteration join needs no exchange and the contributions one (by dst)
-    outw = e.groupBy("src").agg(F.sum("w").alias("_ow"))
-    en = (e.join(outw, on="src").select("src", "dst", (F.col("w") / F.col("_ow")).alias("p"))
-          .repartition(parts, "src").cache())
-    nodes = (e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+    e = e.repartition(parts, "src")
+    outw = e.groupBy("src").agg(F.sum("w").alias("_ow"))          # no exchange: e is partitioned by src
+    en = e.join(outw, on="src").select("src", "dst", (F.col("w") / F.col("_ow")).alias("p")).cache()
+    nodes = (e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node")))
+             .repartition(parts, "node").dropDuplicates(["node"])
              .join(outw.select(F.col("src").alias("node"), F.lit(False).alias("_dangling")), "node", "left")
-             .select("node", F.coalesce("_dangling", F.lit(True)).alias("dangling"))
-             .repartition(parts, "node").cache())
+             .select("node", F.coalesce("_dangling", F.lit(True)).alias("dangling")).cache())
     st = nodes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("dangling").cast("long")).alias("nd")).first()
     n = int(st["n"])
     if n == 0:
