@@ -25,9 +25,10 @@ def test_asof_core_single_exchange_on_key_bucket(spark, small_dir):
 
 
 @pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(("e11", "e12"))))
-def test_no_python_evaluation(spark, small_dir, name):
+def test_no_python_evaluation_no_nested_loops(spark, small_dir, name):
     p = _plan(E.queries()[name](spark, small_dir))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
 def test_pushdown_and_pruning(spark, small_dir):
