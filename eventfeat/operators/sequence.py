@@ -37,7 +37,11 @@ def top1(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], des
 def lag_features(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], cols: Sequence[str],
                  prefix: str = "prev_", bucket_s: float | None = None) -> DataFrame:
     """Previous row's ``cols`` per entity (ordered by ``order``; give a unique
-    tie-break as the last order column).  Output: ``prefix + col`` for each col."""
+    tie-break as the last order column).  Output: ``prefix + col`` for each col.
+
+    NULL entities get no lag.  With ``bucket_s``, rows whose first order value is
+    NULL form their own bucket per entity (lagged among themselves only), whereas
+    the unbucketed window sorts them first within the entity."""
     by, order = _list(by), _list(order)
     cols = list(cols)
     key_ok = F.lit(True)
