@@ -5,6 +5,7 @@ filters and projections pushed into the scan."""
 import pytest
 
 import __spark_entry__ as E
+from eventfeat.plans.catalog import QUERIES
 
 
 def _plan(df) -> str:
@@ -24,7 +25,7 @@ def test_asof_core_single_exchange_on_key_bucket(spark, small_dir):
     assert p.count("Exchange hashpartitioning") <= 2
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(("e11", "e12"))))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("e11", "e12"))))
 def test_no_python_evaluation_no_nested_loops(spark, small_dir, name):
     p = _plan(E.queries()[name](spark, small_dir))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
