@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, quality, secrets, urls
+from eventfeat.llm import chat, linededup, quality, secrets, urls
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op9(spark, sf_dir):
 @_query("op10_url_filters")
 def op10(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@_query("op7_line_dedup", linededup.oracle_sql())
+def op7(spark, sf_dir):
+    return linededup.line_report(table(spark, sf_dir, "documents"))
