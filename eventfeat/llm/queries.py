@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, linededup, quality, secrets, urls
+from eventfeat.llm import chat, linededup, packing, quality, secrets, urls
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op10(spark, sf_dir):
 @_query("op7_line_dedup", linededup.oracle_sql())
 def op7(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_packing")
+def op2(spark, sf_dir):
+    return packing.piece_report(packing.pack(table(spark, sf_dir, "documents")))
