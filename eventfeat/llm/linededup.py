@@ -1,12 +1,10 @@
 """Line dedup with two Bloom filters.
 
-1. Each task reduces its lines to 64-bit key hashes (one per document) and deals them out
-   by hash into segments.  A segment's task streams them through a *once-seen* filter; a
-   hash that meets its own bits there enters the segment's part of the *twice-seen*
-   filter.  Neither filter ever misses a repeat; a false hit only costs a shuffled row.
-2. The twice-seen filter (``FILTER_BITS`` in all, whatever the input: its parts have a
-   fixed size) goes to every task.  Only lines that hit it are shuffled, as 128-bit
-   digests of the whole key, and are confirmed exactly: documents per key, largest id.
+1. Each task sends the hashes of its line keys (one per document) to their owners, which
+   fill the once-seen and twice-seen filters (see ``seen``).
+2. The twice-seen filter, of fixed size, goes to every task.  Only lines that hit it are
+   shuffled, as 128-bit digests of the whole key, and are confirmed exactly: documents per
+   key, largest id.
 3. Documents that lose lines are joined with their keys to drop and rewritten.
 
 A line's key is the line without white space ``[\\x20\\x09-\\x0D]`` at its ends and with A-Z
@@ -26,12 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventfeat.llm.common import shuffle_parts, written
+from eventfeat.llm import seen
+from eventfeat.llm.common import written
 
 SPACE = b" \t\n\x0b\x0c\r"
-FILTER_BITS = 1 << 26        # twice-seen filter, 8 MB in all
-SEGMENT_BITS = 1 << 23       # once-seen filter of one segment, 1 MB
-CHUNK = 1 << 20              # hashes that a task holds before it deals them out
 
 
 def line_keys(text: str | None, min_chars: int) -> list[bytes | None]:
@@ -46,81 +42,24 @@ def line_keys(text: str | None, min_chars: int) -> list[bytes | None]:
     return out
 
 
-def _bits(h, n: int):
-    """Two bit numbers of each hash within a filter of ``n`` bits."""
-    import numpy as np
-
-    h = h * np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(40)) % np.uint64(n), (h & np.uint64(0xFFFFFFFFF)) % np.uint64(n)
-
-
-def _spread(min_chars: int, segments: int):
-    """Task of step 1: rows (segment, hashes); a hash seen twice in the chunk is sent twice."""
+def _spread(min_chars: int, p: seen.Plan):
+    """Task of step 1: messages with the key hashes of its documents."""
 
     def run(batches) -> Iterator:
         import numpy as np
-        import pyarrow as pa
         from xxhash import xxh3_64_intdigest
 
-        schema = pa.schema([("seg", pa.int32()), ("h", pa.binary())])
-
-        def deal(held):
-            h, n = np.unique(np.array(held, dtype=np.uint64), return_counts=True)
-            h = np.concatenate([h, h[n > 1]])
-            seg = (h % np.uint64(segments)).astype(np.int32)
-            order = np.argsort(seg, kind="stable")
-            h, seg = h[order], seg[order]
-            ids, at = np.unique(seg, return_index=True)
-            parts = np.split(h, at[1:])
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], schema=schema)
-
-        held: list[int] = []
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                held.extend({xxh3_64_intdigest(k) for k in line_keys(text, min_chars) if k is not None})
-                if len(held) >= CHUNK:
-                    yield deal(held)
-                    held = []
-        if held:
-            yield deal(held)
-
-    return run
-
-
-def _twice(segments: int, part_bits: int):
-    """Task of step 1 for its segments (rows sorted by segment): the twice-seen parts."""
+        def arrays():
+            for b in batches:
+                for text in b.column(0).to_pylist():
+                    yield np.array([*{xxh3_64_intdigest(k) for k in line_keys(text, min_chars) if k is not None}], np.uint64)
 
-    def run(batches) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        schema = pa.schema([("seg", pa.int32()), ("bits", pa.binary())])
-        seg, once, twice = None, None, None
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array([seg], pa.int32()), pa.array([np.packbits(twice).tobytes()], pa.binary())], schema=schema)
-
-        for b in batches:
-            for s, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if s != seg:
-                    if seg is not None and twice.any():
-                        yield out()
-                    seg, once, twice = s, np.zeros(SEGMENT_BITS, bool), np.zeros(part_bits, bool)
-                h = np.frombuffer(raw, np.uint64) // np.uint64(segments)
-                # repeats inside this row: the second copy of a hash sits in the tail
-                u, n = np.unique(h, return_counts=True)
-                i, j = _bits(u, SEGMENT_BITS)
-                again = u[(once[i] & once[j]) | (n > 1)]
-                once[i] = once[j] = True
-                i, j = _bits(again, part_bits)
-                twice[i] = twice[j] = True
-        if seg is not None and twice.any():
-            yield out()
+        return seen.send(arrays(), p)
 
     return run
 
 
-def _suspects(min_chars: int, segments: int, part_bits: int, shared):
+def _suspects(min_chars: int, p: seen.Plan, shared):
     """Task of step 2: (digest, row, id) of each key of a document that hits the filter."""
 
     def run(batches) -> Iterator:
@@ -128,17 +67,6 @@ def _suspects(min_chars: int, segments: int, part_bits: int, shared):
         import pyarrow as pa
         from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-        bits = shared.value
-        part = part_bits // 8
-
-        def test(h):
-            seg = h % np.uint64(segments)
-            hit = np.ones(len(h), bool)
-            for at in _bits(h // np.uint64(segments), part_bits):
-                byte = (seg * np.uint64(part) + (at >> np.uint64(3))).astype(np.int64)
-                hit &= (bits[byte] >> (7 - (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-            return hit
-
         schema = pa.schema([("k", pa.binary()), ("row", pa.int64()), ("id", pa.int64())])
         for b in batches:
             hashes, keys, rows, ids = [], [], [], []
@@ -150,7 +78,7 @@ def _suspects(min_chars: int, segments: int, part_bits: int, shared):
                 ids.extend([i] * len(found))
             if not keys:
                 continue
-            take = np.flatnonzero(test(np.array(hashes, np.uint64))).tolist()
+            take = np.flatnonzero(seen.hits(shared.value, np.array(hashes, np.uint64), p)).tolist()
             yield pa.RecordBatch.from_arrays([
                 pa.array([xxh3_128_digest(keys[n]) for n in take], pa.binary()),
                 pa.array([rows[n] for n in take], pa.int64()), pa.array([ids[n] for n in take], pa.int64())], schema=schema)
@@ -195,24 +123,13 @@ def _rewrite(min_chars: int, schema: T.StructType, text_at: int):
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
                 min_docs: int = 5) -> DataFrame:
     """``docs`` with its text rewritten, plus ``__n_lines`` and ``__n_dropped``."""
-    import numpy as np
-
-    spark = docs.sparkSession
-    segments = 1 << max(6, (4 * shuffle_parts(spark) - 1).bit_length())
-    part_bits = max(1 << 10, FILTER_BITS // segments)
+    p = seen.plan(docs.sparkSession)
     # a row is known by its id and text: equal rows lose the same lines
     row = F.xxhash64(F.col(id_col), F.col(text_col))
 
-    spread = docs.select(F.col(text_col)).mapInArrow(_spread(min_chars, segments), "seg int, h binary")
-    twice = spread.repartition(min(segments, shuffle_parts(spark)), "seg").sortWithinPartitions("seg").mapInArrow(
-        _twice(segments, part_bits), "seg int, bits binary")
-    bits = np.zeros(segments * part_bits // 8, np.uint8)
-    for seg, raw in twice.collect():  # at most FILTER_BITS / 8 bytes in all
-        bits[seg * part_bits // 8:(seg + 1) * part_bits // 8] = np.frombuffer(bytes(raw), np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
-
+    shared = seen.twice_seen(docs.select(F.col(text_col)).mapInArrow(_spread(min_chars, p), seen.MESSAGES), p)
     suspects = docs.select(F.col(text_col), row.alias("row"), F.col(id_col).cast("long").alias("id")).mapInArrow(
-        _suspects(min_chars, segments, part_bits, shared), "k binary, row long, id long")
+        _suspects(min_chars, p, shared), "k binary, row long, id long")
     suspects = written(suspects, "line-suspects")
     drop = suspects.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("keep")).filter(F.col("n") >= min_docs)
     lost = suspects.join(drop.select("k", "keep"), "k").filter(~F.col("id").eqNullSafe(F.col("keep"))).groupBy("row").agg(
