@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, linededup, packing, quality, secrets, urls
+from eventfeat.llm import chat, jaccard, linededup, packing, quality, secrets, urls
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op7(spark, sf_dir):
 @_query("op2_packing")
 def op2(spark, sf_dir):
     return packing.piece_report(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@_query("op5_ngram_jaccard_join")
+def op5(spark, sf_dir):
+    return jaccard.links(table(spark, sf_dir, "documents"))
