@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, jaccard, linededup, packing, quality, secrets, urls
+from eventfeat.llm import chat, jaccard, linededup, packing, quality, repeats, secrets, urls
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op2(spark, sf_dir):
 @_query("op5_ngram_jaccard_join")
 def op5(spark, sf_dir):
     return jaccard.links(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_suffix_array_dedup")
+def op6(spark, sf_dir):
+    return repeats.repeat_report(table(spark, sf_dir, "documents"))
