@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, jaccard, linededup, packing, quality, repeats, secrets, urls
+from eventfeat.llm import chat, decontam, jaccard, linededup, packing, quality, repeats, secrets, urls
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op5(spark, sf_dir):
 @_query("op6_suffix_array_dedup")
 def op6(spark, sf_dir):
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
+@_query("op3_benchmark_decontamination")
+def op3(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
