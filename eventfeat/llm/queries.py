@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, decontam, jaccard, linededup, packing, quality, repeats, secrets, urls
+from eventfeat.llm import chat, decontam, htmltext, jaccard, linededup, packing, quality, repeats, secrets, urls
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op6(spark, sf_dir):
 @_query("op3_benchmark_decontamination")
 def op3(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op4_html_extraction")
+def op4(spark, sf_dir):
+    return htmltext.extract_text(table(spark, sf_dir, "pages"))
