@@ -228,5 +228,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` (all their columns) that hold no test item."""
     found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text, rare, min_words, min_score)
-    rows = found.select(F.col("row").alias("__row")).distinct()
+    rows = written(found.select(F.col("row").alias("__row")).distinct(), "leaks")
     return docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col))).join(rows, "__row", "left_anti").select(*docs.columns)

@@ -204,3 +204,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     return rows.join(of_class, "digest", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS_PER_SHINGLE,
+                percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` (all their columns) with the smallest id of each component.
+    Rows that repeat an id and a text are one document; rows with a null id stay."""
+    found = written(links(docs, id_col, text_col, k, percent), "components")
+    gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "gone")
+    again = written(found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id"), "again")
+    at = F.col(id_col).cast("long") == F.col("__id")
+    left = docs.join(gone, at, "left_anti")
+    return left.join(again, at, "left_anti").unionByName(left.join(again, at, "left_semi").dropDuplicates([id_col, text_col]))

@@ -118,7 +118,11 @@ def filter_quality(docs: DataFrame, text_col: str = "text", rules=RULES, stop_wo
     d = _measured(docs, F.col(text_col), stop_words)
     base = (F.col("__n_words") < BASE_MIN_WORDS) | (
         100 * F.col("__n_repeat_words") > BASE_REPEAT_PERCENT * F.col("__n_words"))
-    return d.filter(~base & (F.size(_compiled(rules)) == 0)).select(*docs.columns)
+    kept = ~base & (F.size(_compiled(rules)) == 0)
+    # a row for each kept document: unlike a filter, a generator is not pushed below the
+    # measures, which would repeat them once for each of their uses
+    one = F.when(kept, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return d.select(*docs.columns, F.explode(one).alias("__kept")).drop("__kept")
 
 
 def oracle_sql(rules=RULES, stop_words=STOP_WORDS) -> str:
