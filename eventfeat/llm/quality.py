@@ -69,16 +69,16 @@ def _measured(df: DataFrame, text: Column, stops) -> DataFrame:
         lambda a: a["n"]))
     d = d.withColumn("__lines", F.filter(F.split("__t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     forms = _stop_forms(stops)
-    return d.select(
-        *df.columns,
+    # one row from a generator: a filter on a measure is then not pushed below the steps
+    # above, which would repeat each of them once for every use
+    return d.select(*df.columns, F.inline(F.array(F.struct(
         F.col("__n").cast("long").alias("__n_words"),
         F.length(F.array_join("__w", "")).cast("long").alias("__word_chars"),
         (F.length("__t") - F.length(F.regexp_replace("__t", r"[#*$%&|<>]+", ""))).cast("long").alias("__n_symbols"),
         F.size("__lines").cast("long").alias("__n_lines"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("__n_dup_lines"),
         F.col("__cover").alias("__n_repeat_words"),
-        F.size(F.filter("__w", lambda x: x.isin(forms))).cast("long").alias("__n_stop"),
-    )
+        F.size(F.filter("__w", lambda x: x.isin(forms))).cast("long").alias("__n_stop")))))
 
 
 def _ratio(a: str, b: str) -> Column:
@@ -118,11 +118,7 @@ def filter_quality(docs: DataFrame, text_col: str = "text", rules=RULES, stop_wo
     d = _measured(docs, F.col(text_col), stop_words)
     base = (F.col("__n_words") < BASE_MIN_WORDS) | (
         100 * F.col("__n_repeat_words") > BASE_REPEAT_PERCENT * F.col("__n_words"))
-    kept = ~base & (F.size(_compiled(rules)) == 0)
-    # a row for each kept document: unlike a filter, a generator is not pushed below the
-    # measures, which would repeat them once for each of their uses
-    one = F.when(kept, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    return d.select(*docs.columns, F.explode(one).alias("__kept")).drop("__kept")
+    return d.filter(~base & (F.size(_compiled(rules)) == 0)).select(*docs.columns)
 
 
 def oracle_sql(rules=RULES, stop_words=STOP_WORDS) -> str:
