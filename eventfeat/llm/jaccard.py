@@ -184,16 +184,33 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     found = written(_verified(star, sets, percent), "star-links")
     labels = components(found)
 
-    # second look: whatever still shares a prefix shingle across components
-    named = entries.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
+    # second look: whatever still shares a prefix shingle across components.  An entry
+    # stays if even the smallest partner of its group could pass the position filter, and
+    # two components of a group meet if their best entries could
+    smallest = entries.groupBy("h").agg(F.min("n").alias("low"))
+    open_ = entries.join(smallest, "h").filter(F.col("n") - F.col("pos") >= needed(
+        F.col("n"), F.greatest(F.ceil(F.col("n") * percent / 100), F.col("low")), percent)).drop("low")
+    named = open_.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
-    parts = named.select("h", "component").distinct()
+    named = written(named, "open")
+    parts = named.groupBy("h", "component").agg(F.count("*").alias("members"), F.min("n").alias("low"),
+                                                F.max(F.col("n") - F.col("pos")).alias("rest"))
     mixed = parts.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h")
     parts = written(parts.join(mixed, "h"), "mixed")
-    q = parts.alias("p").join(parts.alias("q"), (F.col("p.h") == F.col("q.h")) & (F.col("p.component") < F.col("q.component"))).select(
-        F.col("p.h").alias("h"), F.col("p.component").alias("c1"), F.col("q.component").alias("c2"))
+
+    def best(n1, r1, n2, r2):
+        return F.least(F.col(r1), F.col(r2)) >= needed(F.col(n1), F.col(n2), percent)
+
+    # each pair of components once, the one with fewer members first
+    rank = lambda x: F.struct(f"{x}.members", f"{x}.component")
+    q = parts.alias("p").join(parts.alias("q"), (F.col("p.h") == F.col("q.h")) & (rank("p") < rank("q"))
+                              & best("p.low", "p.rest", "q.low", "q.rest")).select(
+        F.col("p.h").alias("h"), F.col("p.component").alias("c1"), F.col("q.component").alias("c2"),
+        F.col("q.low").alias("low"), F.col("q.rest").alias("rest"))
     member = lambda c, s: named.select("h", F.col("component").alias(c), F.struct("id", "n", "pos", "ranges").alias(s))
-    cross = q.join(member("c1", "x"), ["h", "c1"]).join(member("c2", "y"), ["h", "c2"]).filter(_may_link("x", "y", percent)).select(
+    some = q.join(member("c1", "x"), ["h", "c1"]).filter(
+        F.least(F.col("x.n") - F.col("x.pos"), "rest") >= needed(F.col("x.n"), F.col("low"), percent)).select("h", "c2", "x")
+    cross = some.join(member("c2", "y"), ["h", "c2"]).filter(_may_link("x", "y", percent)).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     cross = cross.join(star, ["a", "b"], "left_anti")
     more = _verified(cross, sets, percent)
