@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventfeat.functions.timecols import epoch_seconds
+from eventfeat.sources.io import scratch_path
 from eventfeat.operators.asof import _row_hash
 
 
@@ -122,13 +123,18 @@ def ratio_split(df: DataFrame, ts: str, ratios: Sequence[float], names: Sequence
     partitioned on ``(ts, tiebreak)`` (sampled bounds, so even one hot timestamp is
     split when the tie-break is unique), sorted inside each partition, numbered
     there, and shifted by the prefix sum of the per-partition counts (a table with
-    one row per partition)."""
+    one row per partition).  The numbered rows are written to the shared scratch folder
+    first: both uses must see one and the same partitioning, and range bounds are
+    sampled anew whenever a plan runs again."""
     tb = _list(tiebreak) if tiebreak else []
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(ts), *[F.col(c) for c in tb]]
     r = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    path = scratch_path(df.sparkSession, "ranked")
+    r.write.parquet(path)
+    r = df.sparkSession.read.schema(r.schema).parquet(path)
     counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventfeat.functions.numeric import hash_unit
-from eventfeat.operators.joins import bounded_broadcast
 
 # --- fixed values: horizon presets (train months, test months) of the source pipeline
 HORIZONS: dict[str, tuple[int, int]] = {"3m": (2, 1), "6m": (5, 1), "1y": (9, 3), "5y": (48, 12)}
@@ -46,8 +45,9 @@ def rolling_windows(df: DataFrame, ts: str, train_months: int, val_months: int,
     a fold is kept while ``val_end <= last day + 1``.  Computed in Spark with
     ``sequence`` + ``add_months`` (month ends clip like calendar arithmetic)."""
     span = df.agg(F.min(F.to_date(F.col(ts))).alias("d0"), F.max(F.to_date(F.col(ts))).alias("d1"))
-    k = F.explode(F.sequence(F.lit(0), F.lit(1200))).alias("k")
-    f = span.select("d0", "d1", k)
+    # the data's span in months bounds the number of folds
+    last = F.ceil(F.months_between(F.col("d1"), F.col("d0")) / step_months).cast("int") + 1
+    f = span.filter("d0 IS NOT NULL").select("d0", "d1", F.explode(F.sequence(F.lit(0), last)).alias("k"))
     # the step is added to the previous validation start, so month-end clipping
     # accumulates exactly as repeated calendar-month addition does (Jan 31 -> Feb 28 -> Mar 28)
     vs = F.aggregate(F.array_repeat(F.lit(0), F.col("k").cast("int")), F.add_months(F.col("d0"), train_months),
@@ -65,13 +65,13 @@ def assign_folds(df: DataFrame, ts: str, folds: DataFrame, fold_col: str = "fold
     """V3: tag each row with every ``(fold, role)`` it belongs to: ``train`` if
     train_start <= ts < val_start, ``val`` if val_start <= ts < val_end; rows in no
     fold are dropped.  Fold bounds are dates, so each fold is expanded to the days
-    it covers (a table of days x folds, size-checked before broadcasting) and rows
+    it covers (a table of days x folds; the planner broadcasts it by its size) and rows
     join on their date: an equi-join, never a nested loop."""
     days = folds.select(
         F.col("fold").alias(fold_col), F.col("val_start").cast("date").alias("_vs"),
         F.explode(F.sequence(F.col("train_start").cast("date"), F.date_sub(F.col("val_end").cast("date"), 1))).alias("_day"))
     days = days.select(fold_col, "_day", F.when(F.col("_day") < F.col("_vs"), "train").otherwise("val").alias(role_col))
-    j = df.join(bounded_broadcast(days), F.to_date(F.col(ts)) == F.col("_day"), "inner")
+    j = df.join(days, F.to_date(F.col(ts)) == F.col("_day"), "inner")
     return j.drop("_day")
 
 

@@ -120,9 +120,10 @@ def q_f7(spark, d):
                      C.compose_key(parts, {1: 4}, null_token=None).alias("row_key_compat"))
 
 
-@register("f8_dedup", "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders")
+@register("f8_dedup", "SELECT DISTINCT * FROM orders")
 def q_f8(spark, d):
-    return C.dedup(Tables(spark, d).orders.select("o_custkey", "o_orderstatus", "o_orderpriority"))
+    o = Tables(spark, d).orders
+    return C.dedup(o.unionByName(o))
 
 
 @register("f9_time_slice", "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem "
@@ -412,9 +413,11 @@ def q_w4(spark, d):
 
 
 @register("w5_ratio_split", """
-WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn, count(*) OVER () AS n FROM orders)
-SELECT o_orderkey, CASE WHEN rn <= floor(n * 0.6) THEN 'train'
-                        WHEN rn <= floor(n * 0.6) + floor(n * 0.2) THEN 'val' ELSE 'test' END AS split FROM r""")
+WITH r AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) AS rn, count(*) OVER () AS n FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_extendedprice, flag_len, CASE WHEN rn <= floor(n * 0.6) THEN 'train'
+                        WHEN rn <= floor(n * 0.6) + floor(n * 0.2) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, length(l_returnflag) AS flag_len FROM r)""")
 def q_w5(spark, d):
-    o = Tables(spark, d).orders.select("o_orderkey", "o_orderdate")
-    return S.ratio_split(o, "o_orderdate", [0.6, 0.2], tiebreak="o_orderkey").select("o_orderkey", "split")
+    li = Tables(spark, d).lineitem
+    out = S.ratio_split(li, "l_shipdate", [0.6, 0.2], tiebreak=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", "l_extendedprice", F.length("l_returnflag").cast("long").alias("flag_len"), "split")

@@ -14,7 +14,7 @@ from eventfeat.sources import io as IO
 
 @register("s1_read_stage", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def q_s1(spark, d):
-    root = IO.scratch_path(spark, "fasw")
+    root = IO.scratch_path(spark, "run")
     src = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     IO.write_stage(src, IO.stage_path(root, "final_join", "3m"))
     return IO.read_stage(spark, root, "final_join", "3m")
@@ -44,7 +44,7 @@ def q_s4(spark, d):
 WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS d0, max(CAST(o_orderdate AS DATE)) AS d1
               FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
      f AS (SELECT CAST(k + 1 AS INTEGER) AS fold, CAST(d0 + to_months(CAST(24 + 12 * k AS INTEGER)) + to_months(12) AS DATE) AS val_end,
-                  CAST(d1 + 1 AS DATE) AS lim FROM span, (SELECT range AS k FROM range(0, 1201)))
+                  CAST(d1 + 1 AS DATE) AS lim FROM span, (SELECT unnest(range(0, date_diff('month', d0, d1) // 12 + 3)) AS k FROM span))
 SELECT fold FROM f WHERE val_end <= lim""")
 def q_s4f(spark, d):
     o = Tables(spark, d).orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderdate")

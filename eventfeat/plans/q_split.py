@@ -28,7 +28,7 @@ def _train(spark, d):
 _FOLDS_SQL = """
 WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS d0, max(CAST(o_orderdate AS DATE)) AS d1
               FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
-     k AS (SELECT range AS k FROM range(0, 1201)),
+     k AS (SELECT unnest(range(0, date_diff('month', d0, d1) // 12 + 3)) AS k FROM span),
      f AS (SELECT CAST(k + 1 AS INTEGER) AS fold,
                   CAST(d0 + to_months(CAST(24 + 12 * k AS INTEGER)) - to_months(24) AS DATE) AS train_start,
                   CAST(d0 + to_months(CAST(24 + 12 * k AS INTEGER)) AS DATE) AS val_start,
