@@ -16,6 +16,7 @@ summary (one row per non-empty bucket), which is small.
 
 from __future__ import annotations
 
+import math
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,14 +43,25 @@ def _is_time(dt: T.DataType) -> bool:
     return isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
-def _numeric_of(c: Column, dt: T.DataType) -> Column:
-    """Zone-free numeric view of an ordering value (seconds for time types)."""
+def _micros(c: Column, dt: T.DataType) -> Column:
+    """Zone-free microseconds of a time value."""
     if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double") * 86400.0
+        return F.unix_date(c).cast("long") * F.lit(86_400_000_000)
+    # unix_timestamp reads NTZ as wall clock (zone-free) and zoned values as instants
+    part = F.date_part(F.lit("SECOND"), c)
+    return F.unix_timestamp(c) * F.lit(1_000_000) + ((part - F.floor(part)) * F.lit(1_000_000)).cast("long")
+
+
+def _bucket_of(c: Column, dt: T.DataType, width: float) -> Column:
+    """Bucket of an ordering value; the width is in seconds for time types and never
+    rounds below a microsecond, so a bucket is at least as wide as a tolerance."""
     if _is_time(dt):
-        # unix_timestamp reads NTZ as wall clock (zone-free) and zoned values as instants
-        return F.unix_timestamp(c).cast("double")
-    return c.cast("double")
+        return F.floor(_micros(c, dt) / F.lit(math.ceil(width * 1e6))).cast("long")
+    return F.floor(c.cast("double") / float(width)).cast("long")
+
+
+def _descending(c: Column, dt: T.DataType) -> Column:
+    return -(_micros(c, dt) if _is_time(dt) else c.cast("double"))
 
 
 def _null_struct(schema: T.StructType) -> Column:
@@ -81,7 +93,7 @@ def _neighbour(
     want_fwd = direction in ("forward", "nearest")
 
     if bucket_width:
-        bexpr = F.floor(_numeric_of(F.col("_t"), t_type) / float(bucket_width)).cast("long")
+        bexpr = _bucket_of(F.col("_t"), t_type, bucket_width)
     else:
         bexpr = F.lit(0).cast("long")
     # rows that can never match (NULL key or ordering value) arrive with NULL keys
@@ -100,8 +112,10 @@ def _neighbour(
 
     if bucket_width:
         rec = F.struct("_t", "_tb", "_r")
-        last_key = F.struct(F.col("_t"), (-F.col("_tb") if _orderable_neg(tb_type) else F.col("_tb")))
-        aggs = ([F.max_by(rec, last_key).alias("_last")] if want_back else []) + \
+        # largest value, then smallest tie-break (NULL first): the window's order, for any
+        # type of tie-break
+        last_key = F.struct(_descending(F.col("_t"), t_type).alias("t"), F.col("_tb"))
+        aggs = ([F.min_by(rec, last_key).alias("_last")] if want_back else []) + \
                ([F.min_by(rec, F.struct("_t", "_tb")).alias("_first")] if want_fwd else [])
         summary = R.groupBy(*keys, "_b").agg(*aggs)
         carries = []
@@ -197,10 +211,6 @@ def _row_hash(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.xxhash64(*ok) if ok else F.lit(0).cast("long")
 
 
-def _orderable_neg(dt: T.DataType) -> bool:
-    return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType))
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -225,7 +235,8 @@ def asof_join(
     ``right_ts <= left_ts - offset`` (``<`` if not ``inclusive``) and, if given,
     ``(left_ts - offset) - right_ts <= tolerance``.  Left rows are never dropped or
     duplicated; unmatched rows get NULL right columns.  NULL keys never match.
-    Equal right timestamps: the row with the smallest ``tiebreak`` wins.
+    Equal right timestamps: the row with the smallest ``tiebreak`` wins (NULL is the
+    smallest; default: a hash of the row).
 
     ``bucket_s`` splits each key into time buckets (default: the tolerance) so a hot
     key is spread over many tasks.
@@ -253,7 +264,8 @@ def asof_join(
     r_ok = r_ok & F.col(right_ts).isNotNull()
 
     L = _left_frame(left2, by, F.col(target_col), lcols)
-    tb = F.col(tiebreak) if tiebreak else F.lit(0).cast("long")
+    # without a tie-break of its own, a row's hash decides: the same on any partitioning
+    tb = F.col(tiebreak) if tiebreak else _row_hash(right, right.columns)
     R = right.filter(r_ok).select(
         *[F.col(c).cast(left.schema[by[i]].dataType).alias(_KEY.format(i)) for i, c in enumerate(right_by)],
         F.col(right_ts).cast(lt_type).alias("_t"),

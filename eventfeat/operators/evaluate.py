@@ -31,6 +31,16 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
 
 
+def _same_group(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns where NULL equals NULL."""
+    keys = {c: f"_on_{c}" for c in on}
+    b = b.withColumnsRenamed(keys)
+    same = F.lit(True)
+    for c, k in keys.items():
+        same = same & a[c].eqNullSafe(b[k])
+    return a.join(b, same, "inner").drop(*keys.values())
+
+
 def confusion(df: DataFrame, y: str, pred: str, by=None) -> DataFrame:
     """tp, fp, fn, tn per group (one conditional aggregate)."""
     g = _grp(by)
@@ -88,7 +98,7 @@ def _curve(df: DataFrame, y: str, score: str, by=None, buckets: int = SCORE_BUCK
                    (F.sum("_bp").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bp")).alias("_op"),
                    (F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bn")).alias("_on"),
                    F.sum("_bp").over(wall).alias("P"), F.sum("_bn").over(wall).alias("N"))
-    per = per.join(bt, on=[*g, "_bk"], how="inner")
+    per = _same_group(per, bt, [*g, "_bk"])
     wi = Window.partitionBy(*g, "_bk").orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return per.select(*g, "_s", "P", "N",
                       (F.col("_op") + F.sum("_p").over(wi)).alias("tp"),
@@ -115,12 +125,13 @@ def curve_areas(df: DataFrame, y: str, score: str, by=None) -> DataFrame:
 
 def classification_metrics(df: DataFrame, y: str, pred: str, score: str, by=None) -> DataFrame:
     """Recall, precision, F1 (class 1 and weighted), F2, accuracy,
-    confusion counts, ROC-AUC, PR-AUC and average precision per group."""
+    confusion counts, ROC-AUC, PR-AUC and average precision per group (a NULL group is a
+    group).  NULL and NaN scores rank highest."""
     g = _grp(by)
     if not g:
         return classification_metrics(df.withColumn("_all", F.lit(1)), y, pred, score, "_all").drop("_all")
     m = _threshold_metrics(confusion(df, y, pred, by))
-    return m.join(curve_areas(df, y, score, by), on=g, how="inner")
+    return _same_group(m, curve_areas(df, y, score, by), g)
 
 
 def threshold_sweep(df: DataFrame, y: str, p: str, thresholds: Sequence[float], by=None, beta: float = 2.0,

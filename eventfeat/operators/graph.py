@@ -66,8 +66,7 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
     for it in range(1, max_iter + 1):
         contrib = (en.join(ranks.select(F.col("node").alias("src"), "r"), on="src")
                    .select(F.col("dst").alias("node"), (F.col("r") * F.col("p")).alias("_c"))
-                   .repartition(parts, "node")
-                   .groupBy("node").agg(F.sum("_c").alias("_in")))
+                   .groupBy("node").agg(F.sum("_c").alias("_in")))  # summed before it is shuffled
         new = (ranks.join(contrib, on="node", how="left")
                .select("node", "dangling", F.col("r").alias("_old"),
                        (F.lit(alpha) * (F.coalesce(F.col("_in"), F.lit(0.0)) + F.lit(dm / n))

@@ -1,7 +1,7 @@
 """Dimension joins (J1, J1x, J2, J4, J5, J9, J10, J11).
 
-Dimensions are broadcast only behind a row-count check (``bounded_broadcast``);
-above the bound the join is left to the planner (sort-merge / AQE skew split).
+No join carries a broadcast hint: the planner and AQE choose by size in bytes, and split
+skewed partitions of a sort-merge join.
 """
 
 from __future__ import annotations
@@ -13,20 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may have and still be broadcast (checked with a bounded count).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if ``df`` provably has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows (a ``limit`` job), so it stays
-    cheap even when the side turns out to be large; then the planner chooses.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # ------------------------------------------------------------------ J1 / J1x
 
 def _calendar_days(cal: DataFrame, date_col: str, days: int, keep: Sequence[str] = ()) -> DataFrame:
@@ -40,7 +26,7 @@ def near_date_flag(df: DataFrame, cal: DataFrame, df_date: str, cal_date: str =
 
     The calendar is expanded to the set of covered days (distinct), so the join is
     an equi-join on a date and can never duplicate fact rows."""
-    near = bounded_broadcast(_calendar_days(cal, cal_date, days).distinct().withColumn("_hit", F.lit(1)))
+    near = _calendar_days(cal, cal_date, days).distinct().withColumn("_hit", F.lit(1))
     j = df.join(near, F.col(df_date).cast("date") == F.col("_near_day"), "left")
     return j.withColumn(out, F.coalesce(F.col("_hit"), F.lit(0))).drop("_near_day", "_hit")
 
@@ -51,7 +37,7 @@ def near_date_join(df: DataFrame, cal: DataFrame, df_date: str, cal_date: str =
     """J1x: left join to *every* calendar row within +-``days`` (a date near two
     entries yields two rows), plus the 0/1 flag -- the source's fan-out semantics,
     done as an equi-join on expanded days instead of a nested-loop range join."""
-    near = bounded_broadcast(_calendar_days(cal, cal_date, days, keep=[cal_date, *cal_cols]))
+    near = _calendar_days(cal, cal_date, days, keep=[cal_date, *cal_cols])
     j = df.join(near, F.col(df_date).cast("date") == F.col("_near_day"), "left")
     return j.withColumn(out, F.when(F.col(cal_date).isNotNull(), 1).otherwise(0)).drop("_near_day")
 
@@ -60,7 +46,7 @@ def near_date_join(df: DataFrame, cal: DataFrame, df_date: str, cal_date: str =
 
 def inner_enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Left join followed by a null-rejecting filter is an inner join."""
-    return df.join(bounded_broadcast(dim), on=on, how="inner")
+    return df.join(dim, on=on, how="inner")
 
 
 def enrich_roles(df: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
@@ -71,7 +57,7 @@ def enrich_roles(df: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str
     ``{"cust_": "c_nationkey", "supp_": "s_nationkey"}``; dimension columns come out
     as ``prefix + col + suffix``."""
     cols = [c for c in (cols or dim.columns) if c != dim_key]
-    small = bounded_broadcast(dim.select(dim_key, *cols))
+    small = dim.select(dim_key, *cols)
     out = df
     for prefix, fk in roles.items():
         d = small.select(F.col(dim_key).alias(f"_{prefix}key"),
@@ -92,7 +78,6 @@ def enrich_with_fallback(df: DataFrame, primary: DataFrame, backup: DataFrame, f
     merged = p.join(b, p["_k"] == b["_kb"], "full_outer").select(
         F.coalesce("_k", "_kb").alias("_key"),
         *[F.coalesce(F.col(f"_p_{c}"), F.col(f"_b_{c}")).alias(f"{prefix}{c}") for c in cols])
-    merged = bounded_broadcast(merged)
     return df.join(merged, df[fact_key] == merged["_key"], "left").drop("_key")
 
 
@@ -145,9 +130,8 @@ def zone_lookup(points: DataFrame, zones: DataFrame, point_key: str | Sequence[s
     Grid-cell equi-join: each reference point is copied into every cell its
     ``max_km`` disc can touch (more longitude cells towards the poles), points join
     on their own cell, and ``min_by`` keeps the nearest (ties: smallest id).  Exact
-    for the radius; no point x zone product beyond the neighbouring cells.  ``point_key``
-    must identify a point (one output row per key)."""
-    keys = [point_key] if isinstance(point_key, str) else list(point_key)
+    for the radius; no point x zone product beyond the neighbouring cells.  One
+    output row per input row, whatever ``point_key`` holds (kept for callers)."""
     lat_span = max_km / KM_PER_DEG_LAT
     n_lat = int(math.ceil(lat_span / cell_deg))
     n_lon_cells = int(math.ceil(360.0 / cell_deg))
@@ -165,18 +149,17 @@ def zone_lookup(points: DataFrame, zones: DataFrame, point_key: str | Sequence[s
                   F.pmod(F.col("_clon0") + F.col("_dlon"), F.lit(n_lon_cells)).alias("_clon"))
           .drop("_clat0", "_clon0", "_dlat", "_dlon")
           .dropDuplicates(["_zid", "_clat", "_clon"]))
-    zc = bounded_broadcast(zc)
     pts = points.withColumn("_plat", F.col(lat).cast("double")).withColumn("_plon", F.col(lon).cast("double"))
     pts = (pts.withColumn("_clat", F.floor(F.col("_plat") / cell_deg).cast("int"))
            .withColumn("_clon", F.pmod(F.floor(F.col("_plon") / cell_deg).cast("int"), F.lit(n_lon_cells))))
-    j = pts.join(zc, on=["_clat", "_clon"], how="left")
+    # nearest zone of each distinct place, then joined back: rows that share a key or a
+    # place, and rows without a place, all keep their own row
+    places = pts.select("_plat", "_plon", "_clat", "_clon").distinct()
+    j = places.join(zc, on=["_clat", "_clon"], how="inner")
     d = haversine_km(F.col("_plat"), F.col("_plon"), F.col("_zlat"), F.col("_zlon"))
-    j = j.withColumn("_d", F.when(d <= max_km, d))
-    pcols = points.columns
-    # one pass over the points: each point's row rides along in the grouped aggregate
-    # (candidates beyond the radius have a NULL ordering and are ignored by min_by)
+    j = j.withColumn("_d", d).filter(F.col("_d") <= max_km)
     best = F.min_by(F.struct(F.col("_zid").alias(zone_id), *[F.col(c) for c in zone_cols], F.col("_d").alias(distance_col)),
-                    F.when(F.col("_d").isNotNull(), F.struct(F.col("_d"), F.col("_zid"))))
-    g = j.groupBy(*keys).agg(F.first(F.struct(*[F.col(c) for c in pcols])).alias("_p"), best.alias("_best"))
-    return g.select(*[F.col("_p")[c].alias(c) for c in pcols],
-                    *[F.col("_best")[c].alias(c) for c in [zone_id, *zone_cols, distance_col]])
+                    F.struct(F.col("_d"), F.col("_zid")))
+    g = j.groupBy("_plat", "_plon").agg(best.alias("_best"))
+    out = pts.join(g, on=["_plat", "_plon"], how="left")
+    return out.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [zone_id, *zone_cols, distance_col]])

@@ -55,15 +55,42 @@ def leakage_audit(df: DataFrame, hours_col: str, threshold_h: float, guarded: Se
     return df.agg(*aggs)
 
 
+MEDIAN_BINS = 4096     # counts that one pass brings to the driver
+MEDIAN_LAST = 100_000  # values that may be sorted at the end
+
+
+def _exact_median(df: DataFrame, col: str) -> float | None:
+    """Lower median by narrowing: count the values in equal bins, go on inside the bin that
+    holds the middle one, sort only when few values are left."""
+    x = df.select(F.col(col).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+    n, lo, hi = x.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    if not n:
+        return None
+    k = (n + 1) // 2  # place of the median, from 1
+    while lo < hi and n > MEDIAN_LAST:
+        width = hi / MEDIAN_BINS - lo / MEDIAN_BINS
+        if not 0 < width < float("inf"):
+            break
+        bins = x.filter(F.col("v").between(lo, hi)).groupBy(
+            F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(MEDIAN_BINS - 1)).alias("b")).agg(
+            F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect()
+        for r in bins:
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+        n, lo, hi = r["n"], r["lo"], r["hi"]
+    if lo == hi:
+        return float(lo)
+    return float(x.filter(F.col("v").between(lo, hi)).orderBy("v").offset(k - 1).limit(1).first()["v"])
+
+
 def fit_median(df: DataFrame, col: str, exact: bool = True, rel_error: float = 0.01) -> float | None:
-    """Median of ``col``.  ``exact`` uses the lower median (an element of the
-    data); otherwise ``approxQuantile`` with ``rel_error``."""
+    """Median of ``col``, NULL and NaN left out.  ``exact`` gives the lower median (an
+    element of the data) at any size; otherwise ``approxQuantile`` with ``rel_error``."""
     if exact:
-        v = df.agg(F.percentile_approx(F.col(col), 0.5, 1_000_000).alias("m")).first()["m"]
-    else:
-        v = df.approxQuantile(col, [0.5], rel_error)
-        v = v[0] if v else None
-    return None if v is None else float(v)
+        return _exact_median(df, col)
+    v = df.approxQuantile(col, [0.5], rel_error)
+    return float(v[0]) if v else None
 
 
 def skew_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -144,14 +171,13 @@ class NullPolicy:
 def fit_null_policy(train: DataFrame, zero: Sequence[str] = (), median: Sequence[str] = (),
                     const: Mapping[str, object] | None = None, exact_median: bool = True) -> NullPolicy:
     """X11: zero-fill list, median-fill list (medians from ``train``), constants;
-    only for columns that exist.  All medians come from one aggregate pass."""
+    only for columns that exist."""
     have = set(train.columns)
     vals: dict[str, object] = {c: 0 for c in zero if c in have}
     med = [c for c in median if c in have]
     if med:
         if exact_median:
-            row = train.agg(*[F.percentile_approx(F.col(c), 0.5, 1_000_000).alias(c) for c in med]).first()
-            vals.update({c: row[c] for c in med})
+            vals.update({c: _exact_median(train, c) for c in med})
         else:
             qs = train.approxQuantile(med, [0.5], 0.01)
             vals.update({c: (q[0] if q else None) for c, q in zip(med, qs)})

@@ -109,7 +109,14 @@ def calendar(spark, first_year: int = 2015, last_year: int = 2019) -> DataFrame:
 def clean_flights(flights: DataFrame, cal: DataFrame, window=DATE_WINDOW, compat: bool = False) -> DataFrame:
     """Date window, full-row dedup, cancelled/diverted and non-US airport removal,
     keep-list, FLIGHT_ID and the +-2-day holiday flag."""
-    df = flights.filter(F.col("FL_DATE").cast("string").between(F.lit(window[0]), F.lit(window[1])))
+    # the bounds take the column's type, so the filter reaches the scan
+    kind = flights.schema["FL_DATE"].dataType
+    if kind.typeName() == "string":
+        inside = F.col("FL_DATE").between(*window)
+    else:
+        inside = (F.col("FL_DATE") >= F.lit(window[0]).cast("date").cast(kind)) & (
+            F.col("FL_DATE") < F.date_add(F.lit(window[1]).cast("date"), 1).cast(kind))
+    df = flights.filter(inside)
     df = C.dedup(df)
     df = C.exclude(df, equals={"CANCELLED": 0, "DIVERTED": 0},
                    not_in={"ORIGIN": PR.AIRPORTS_TO_REMOVE, "DEST": PR.AIRPORTS_TO_REMOVE})

@@ -162,10 +162,10 @@ def test_run_stages_writes_every_stage(spark, inputs):
     src["airports"] = f"{root}/in/airports_csv"
     airports.write.option("header", True).csv(src["airports"])
     paths = FL.run_stages(spark, src["flights"], src["weather"], src["stations"], src["airports"], zones,
-                          f"{root}/fasw", horizon="1y")
+                          f"{root}/run", horizon="1y")
     assert spark.read.parquet(paths["final_join"]).count() == 3
     assert spark.read.parquet(paths["preprocessed"]).count() == 3
     tt = spark.read.parquet(paths["train_test"])
     assert {r["split"] for r in tt.select("split").distinct().collect()} == {"train"}
-    assert paths["final_join"].endswith("fasw_1y/final_join")
+    assert paths["final_join"].endswith("run_1y/final_join")
     assert not os.path.exists(paths["processed"].replace("file:", ""))   # no fold fits in 2 days of data

@@ -27,10 +27,10 @@ def test_stage_stream_appends_transformed_batches(spark, small_dir):
 
 
 def test_stage_path_validates_horizon():
-    assert IO.stage_path("/x/fasw", "final_join", "3m") == "/x/fasw_3m/final_join"
-    assert IO.stage_path("/x/fasw", "final_join", "all") == "/x/fasw/final_join"
+    assert IO.stage_path("/x/run", "final_join", "3m") == "/x/run_3m/final_join"
+    assert IO.stage_path("/x/run", "final_join", "all") == "/x/run/final_join"
     try:
-        IO.stage_path("/x/fasw", "final_join", "2m")
+        IO.stage_path("/x/run", "final_join", "2m")
     except ValueError:
         pass
     else:
