@@ -63,14 +63,14 @@ def feature_pipeline(spec: FeatureSpec) -> Pipeline:
         idx = [f"{c}_idx" for c in spec.categorical]
         stages.append(StringIndexer(inputCols=list(spec.categorical), outputCols=idx, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe))
-    stages.append(VectorAssembler(inputCols=num, outputCol="num_vector", handleInvalid="keep"))
-    stages.append(StandardScaler(inputCol="num_vector", outputCol="scaled_num_vector", withStd=True, withMean=spec.with_mean))
+    stages.append(VectorAssembler(inputCols=num, outputCol="numbers", handleInvalid="keep"))
+    stages.append(StandardScaler(inputCol="numbers", outputCol="numbers_scaled", withStd=True, withMean=spec.with_mean))
     tail = list(spec.binary)
     if ohe:
-        stages.append(VectorAssembler(inputCols=ohe, outputCol="ohe_vector", handleInvalid="keep"))
-        tail = ["ohe_vector", *tail]
-    stages.append(VectorAssembler(inputCols=["scaled_num_vector", *tail], outputCol="log_scaled_features", handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=["num_vector", *tail], outputCol="log_unscaled_features", handleInvalid="keep"))
+        stages.append(VectorAssembler(inputCols=ohe, outputCol="one_hot", handleInvalid="keep"))
+        tail = ["one_hot", *tail]
+    stages.append(VectorAssembler(inputCols=["numbers_scaled", *tail], outputCol="log_scaled_features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=["numbers", *tail], outputCol="log_unscaled_features", handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=[*raw_sorted, *tail], outputCol="full_unscaled_features", handleInvalid="keep"))
     return Pipeline(stages=stages)
 

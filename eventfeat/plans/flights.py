@@ -24,7 +24,7 @@ Where the source pipeline had a defect the default here is the fixed behaviour a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -267,8 +267,31 @@ def leakage_check(df: DataFrame, lead_s: int = PR.LAG_LEAD_S) -> DataFrame:
                            ["prev_flight_arr_delay_clean", "actual_to_crs_time_to_next_flight_diff_mins_clean"])
 
 
-def model_table(df: DataFrame) -> DataFrame:
-    return df.select(*MODEL_COLS)
+def model_table(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The model's columns; ``keep`` adds keys (the downsampler needs ``FLIGHT_ID``)."""
+    return df.select(*keep, *MODEL_COLS)
+
+
+# Columns and kinds that a later stage relies on; a stage must have them when written.
+STAGE_CONTRACT = {
+    "final_join": {"FLIGHT_ID": "string", "STATION": "string", "ORIGIN": "string", "DEST": "string", "TAIL_NUM": "string",
+                   "CRS_DEP_DATETIME_UTC": "timestamp_ntz", "MATCHED_OBS_TIME_UTC": "timestamp_ntz"},
+    "preprocessed": {"FLIGHT_ID": "string", "CRS_DEP_DATETIME_UTC": "timestamp_ntz", "ARR_DEL15": None, **{c: None for c in MODEL_COLS if c != "CRS_DEP_DATETIME_UTC"}},
+    "train_test": {"split": "string", "FLIGHT_ID": "string", "CRS_DEP_DATETIME_UTC": "timestamp_ntz"},
+    "rolling_windows": {"fold": "int", "role": "string", "FLIGHT_ID": "string"},
+    "processed": {"FLIGHT_ID": "string", "ARR_DEL15": None, "log_scaled_features": "vector", "full_unscaled_features": "vector"},
+}
+
+
+def check_stage(df: DataFrame, stage: str) -> DataFrame:
+    """``df`` if it keeps the stage's contract; an error that names what differs if not."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    name = lambda t: "vector" if type(t).__name__ == "VectorUDT" else t.simpleString()
+    wrong = [f"{c}: {name(kinds[c]) if c in kinds else 'missing'}" + (f", not {want}" if want and c in kinds else "")
+             for c, want in STAGE_CONTRACT[stage].items() if c not in kinds or (want and name(kinds[c]) != want)]
+    if wrong:
+        raise ValueError(f"stage {stage}: " + "; ".join(wrong))
+    return df
 
 
 def train_test(df: DataFrame, horizon: str = "5y", ts: str = "CRS_DEP_DATETIME_UTC") -> DataFrame:
@@ -309,35 +332,96 @@ def run_stages(spark, flights_path: str, weather_path: str, stations_path: str,
 
     ``final_join`` (100 files by date + carrier) -> ``preprocessed`` ->
     ``train_test/split=*`` -> ``rolling_windows/fold=*/role=*`` ->
-    ``processed/fold=*/role=*``.  Returns the written paths."""
+    ``processed/fold=*/role=*`` and ``processed_train_test/split=*`` (fitted on train, not
+    downsampled).  ``preprocessed`` has the model's columns and ``FLIGHT_ID`` only, after
+    the leakage audit has found nothing; every stage keeps its contract.  Returns the
+    written paths."""
     from eventfeat.sources import io as IO
 
     sfx = _STAGE_SUFFIX[horizon]
     path = {name: IO.stage_path(out_root, name, sfx) for name in
-            ("weather_clean", "final_join", "preprocessed", "train_test", "rolling_windows", "processed")}
+            ("weather_clean", "final_join", "preprocessed", "train_test", "rolling_windows", "processed", "processed_train_test", "metrics")}
     fl = clean_flights(spark.read.parquet(flights_path), calendar(spark))
     ap, backup = airport_stations(spark.read.parquet(stations_path), IO.read_csv(spark, airports_csv), fl)
     full = enrich_and_localize(fl, ap, backup, zones)
     IO.write_stage(clean_weather(spark.read.parquet(weather_path)), path["weather_clean"])
     wx = spark.read.parquet(path["weather_clean"])
-    IO.write_stage(final_join(full, wx), path["final_join"], n=OUTPUT_FILES, keys=OUTPUT_KEYS)
+    IO.write_stage(check_stage(final_join(full, wx), "final_join"), path["final_join"], n=OUTPUT_FILES, keys=OUTPUT_KEYS)
     joined = spark.read.parquet(path["final_join"])
     fit_rows = train_test(joined, horizon).filter(F.col("split") == "train") if fit_on_train else None
-    IO.write_stage(preprocess(joined, fit_rows=fit_rows), path["preprocessed"])
+    # written with its audit column first: the audit and the narrowed stage read it once each
+    audited = IO.scratch_path(spark, "audited")
+    IO.write_stage(preprocess(joined, fit_rows=fit_rows), audited)
+    full = spark.read.parquet(audited)
+    audit = leakage_check(full).first().asDict()
+    if leaked := {k: v for k, v in audit.items() if k.endswith("_violations") and v}:
+        raise ValueError(f"features known too late: {leaked}")
+    IO.write_stage(check_stage(model_table(full, keep=["FLIGHT_ID"]), "preprocessed"), path["preprocessed"])
     pre = spark.read.parquet(path["preprocessed"])
-    IO.write_stage(train_test(pre, horizon), path["train_test"], partition_by=["split"])
+    IO.write_stage(check_stage(train_test(pre, horizon), "train_test"), path["train_test"], partition_by=["split"])
     train = IO.read_partition(spark, path["train_test"], split="train").drop("split")
     ts = "CRS_DEP_DATETIME_UTC"
     folds = V.rolling_windows(train, ts, *V.ROLLING[horizon])
     fold_ids = [r["fold"] for r in folds.select("fold").collect()]   # a handful of folds
     if fold_ids:
-        IO.write_stage(V.assign_folds(train, ts, folds), path["rolling_windows"], partition_by=["fold", "role"])
+        IO.write_stage(check_stage(V.assign_folds(train, ts, folds), "rolling_windows"), path["rolling_windows"], partition_by=["fold", "role"])
         windows = spark.read.parquet(path["rolling_windows"])
         for fold in fold_ids:
             part = windows.filter(F.col("fold") == fold)
             tr, va, _, _ = process_fold(part.filter(F.col("role") == "train").drop("fold", "role"),
                                         part.filter(F.col("role") == "val").drop("fold", "role"))
-            IO.write_stage(tr, f"{path['processed']}/fold={fold}/role=train")
-            IO.write_stage(va, f"{path['processed']}/fold={fold}/role=val")
+            IO.write_stage(check_stage(tr, "processed"), f"{path['processed']}/fold={fold}/role=train")
+            IO.write_stage(check_stage(va, "processed"), f"{path['processed']}/fold={fold}/role=val")
+    if not train.isEmpty():
+        test = spark.read.parquet(path["train_test"]).filter(F.col("split") == "test").drop("split")
+        tr, te, _, _ = process_fold(train, test, downsample_ratio=None)
+        IO.write_stage(check_stage(tr, "processed"), f"{path['processed_train_test']}/split=train")
+        IO.write_stage(check_stage(te, "processed"), f"{path['processed_train_test']}/split=test")
     return path
 
+
+def train_and_test(spark, path: Mapping[str, str], arch: str = "mlp1", target: str = "ARR_DEL15",
+                   features: str = "log_scaled_features", thresholds: Sequence[float] = PR.SWEEP_THRESHOLDS,
+                   max_iter: int | None = None, run_id: str = "run") -> DataFrame:
+    """Train, sweep and blind test on the stages that ``run_stages`` wrote.
+
+    Per fold: fit on its processed train rows, score its validation rows, sweep the
+    thresholds.  The threshold with the best mean F2 over the folds (0.5 without folds) is
+    then used once on the test split, scored by a model fitted on the whole training
+    split.  All metrics go to the metric log; the test metrics are returned."""
+    from eventfeat.operators import evaluate as EV
+    from eventfeat.operators.train import ARCH, MAX_ITER, score, train_mlp
+    from eventfeat.sources import io as IO
+
+    a, steps = ARCH[arch], max_iter or MAX_ITER
+
+    def fitted(train, other):
+        model = train_mlp(train, features, target, hidden=a["hidden"], step_size=a["step_size"], max_iter=steps)
+        return score(model, other).select(F.col(target).cast("double").alias("y"), "prob_pos")
+
+    best, scored = 0.5, None
+    if exists(spark, path["processed"]):
+        folds = spark.read.parquet(path["rolling_windows"])
+        for (fold,) in folds.select("fold").distinct().orderBy("fold").collect():  # a handful of folds
+            part = [spark.read.parquet(f"{path['processed']}/fold={fold}/role={r}") for r in ("train", "val")]
+            s = fitted(*part).withColumn("fold", F.lit(fold))
+            scored = s if scored is None else scored.unionByName(s)
+    if scored is not None:
+        sweep = EV.threshold_sweep(scored, "y", "prob_pos", thresholds, by="fold").persist()
+        best = sweep.groupBy("threshold").agg(F.avg("f2").alias("f2")).orderBy(F.desc("f2"), "threshold").first()["threshold"]
+        IO.log_metrics(sweep.filter(F.col("threshold") == best).withColumn("step", F.lit(0)), path["metrics"], run_id,
+                       metric_cols=["precision", "recall", "f1", "f2", "threshold"])
+        sweep.unpersist()
+    train, test = (spark.read.parquet(f"{path['processed_train_test']}/split={s}") for s in ("train", "test"))
+    blind = fitted(train, test).withColumn("pred", (F.col("prob_pos") >= best).cast("int"))
+    result = EV.classification_metrics(blind, "y", "pred", "prob_pos").withColumn("threshold", F.lit(float(best)))
+    result = result.withColumns({"fold": F.lit(-1), "step": F.lit(0)})
+    IO.log_metrics(result, path["metrics"], run_id)
+    return result
+
+
+def exists(spark, path: str) -> bool:
+    """Whether a stage was written (through the path's own file system)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+

@@ -112,13 +112,52 @@ def q_e6(spark, d):
     return r.select("o_orderkey", *[F.round(f"{c}_num", R6).alias(f"{c}_num") for c in _SCALE_COLS])
 
 
-@register("e3_assemble")
+def _elements(vec: str, n: int, name: str, digits: int | None = None):
+    """The elements of a vector as columns, NaN as NULL."""
+    arr = vector_to_array(F.col(vec))
+    out = []
+    for i in range(n):
+        x = F.when(~F.isnan(arr[i]), arr[i])
+        out.append((F.round(x, digits) if digits else x).alias(f"{name}_{i}"))
+    return out
+
+
+@register("e3_assemble", with_fixtures("SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS f_0, CASE WHEN NOT isnan(o_rate) THEN o_rate END AS f_1, "
+                                       "o_totalprice AS f_2 FROM orders_dirty", "orders_dirty"))
 def q_e3(spark, d):
-    from pyspark.ml.feature import VectorAssembler
     df = fixture(spark, d, "orders_dirty").select("o_orderkey", F.col("o_custkey").cast("double").alias("c"),
                                                   "o_totalprice", "o_rate")
-    v = VectorAssembler(inputCols=["c", "o_totalprice", "o_rate"], outputCol="vec", handleInvalid="keep").transform(df)
-    return v.select("o_orderkey", vector_to_array("vec").alias("features"))
+    out = FE.feature_pipeline(FE.FeatureSpec(numeric=["c", "o_totalprice", "o_rate"], categorical=[], binary=[], log_cols=[])).fit(df).transform(df)
+    return out.select("o_orderkey", *_elements("full_unscaled_features", 3, "f"))  # numeric columns in name order
+
+
+@register("s8_reloaded_scaler", _scale_sql())
+def q_s8(spark, d):
+    """A scaler that was saved and loaded gives what the fitted one gives."""
+    from eventfeat.sources.io import load_model, save_model, scratch_path
+    df = _scale_frame(spark, d)
+    p = save_model(FE.fit_scaler(df.filter(_is_train()), _SCALE_COLS, with_mean=True, out="scaled"), scratch_path(spark, "scaler"))
+    r = FE.scaled_columns(load_model(p).transform(df), "scaled", _SCALE_COLS)
+    return r.select("o_orderkey", *[F.round(f"{c}_num", R6).alias(f"{c}_num") for c in _SCALE_COLS])
+
+
+_FIXED_W = (0.3, -0.4, 0.9, 0.2, 0.1, -0.05)  # of the two inputs to each class, then the biases
+
+
+@register("d2_fixed_model_score", f"""
+WITH x AS ({_scale_sql().replace(f", {R6})", ", 15)")})
+SELECT o_orderkey, round(1 / (1 + exp(-(({_FIXED_W[1]} - {_FIXED_W[0]}) * o_totalprice_num + ({_FIXED_W[3]} - {_FIXED_W[2]}) * o_custkey_d_num
+  + ({_FIXED_W[5]} - {_FIXED_W[4]})))), 4) AS prob_pos FROM x""")
+def q_d2(spark, d):
+    """P(class 1) of a model with given weights (no training steps): E12 and D2."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.linalg import Vectors
+
+    from eventfeat.operators.train import score
+    df = _scaled(spark, d).withColumn("y", F.pmod("o_orderkey", F.lit(2)).cast("double"))
+    model = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="y", layers=[2, 2], maxIter=0,
+                                           initialWeights=Vectors.dense(_FIXED_W)).fit(df)
+    return score(model, df).select("o_orderkey", F.round("prob_pos", 4).alias("prob_pos"))
 
 
 @register("e10_model_columns", with_fixtures(f"""
@@ -141,7 +180,7 @@ def q_e10(spark, d):
     return r.select(*[F.round(f"{c}_num", R6).alias(f"{c}_num") for c in _SCALE_COLS], "o_orderpriority_cat", "is_p_bin", "target")
 
 
-# ---------------------------------------------------------------- E5 / E11 / E12 (rows-only)
+# ---------------------------------------------------------------- E5, E11 / E12 (rows-only)
 
 def _model_frame(spark, d):
     o = Tables(spark, d).orders
@@ -156,13 +195,34 @@ _SPEC = FE.FeatureSpec(numeric=["o_totalprice", "o_custkey_d"], categorical=["o_
                        binary=["odd_key"], log_cols=["o_totalprice"])
 
 
-@register("e5_feature_vectors")
+_VECTORS = ("log_scaled_features", "log_unscaled_features", "full_unscaled_features")
+
+
+def _vectors_sql() -> str:
+    """Numeric columns in name order, one-hot by frequency on the training rows, binary."""
+    train = f"FROM orders WHERE o_orderdate < TIMESTAMP '{_CUT}'"
+    label = lambda e: f"(SELECT {e} AS v, row_number() OVER (ORDER BY count(*) DESC, {e}) - 1 AS idx {train} GROUP BY 1)"
+    log = "sign(o_totalprice) * ln(1 + abs(o_totalprice))"
+    stats = (f"(SELECT avg(CAST(o_custkey AS DOUBLE)) AS m1, stddev_samp(CAST(o_custkey AS DOUBLE)) AS s1, avg({log}) AS m2, "
+             f"stddev_samp({log}) AS s2 {train})")
+    key = "CAST(o_custkey AS DOUBLE)"
+    numeric = {"log_scaled_features": [f"({key} - m1) / s1", f"({log} - m2) / s2"], "log_unscaled_features": [key, log],
+               "full_unscaled_features": [key, "o_totalprice"]}
+    cols = []
+    for name in _VECTORS:
+        parts = [f"round({x}, {R6})" for x in numeric[name]]
+        parts += [f"CASE WHEN p.idx = {i} THEN 1.0 ELSE 0.0 END" for i in range(5)]
+        parts += [f"CASE WHEN q.idx = {i} THEN 1.0 ELSE 0.0 END" for i in range(5)] + ["CAST(o_orderkey % 2 AS DOUBLE)"]
+        cols += [f"CAST({x} AS DOUBLE) AS {name}_{i}" for i, x in enumerate(parts)]
+    return (f"SELECT o_orderkey, {', '.join(cols)} FROM orders LEFT JOIN {label('o_orderpriority')} p ON p.v = o_orderpriority "
+            f"LEFT JOIN {label('substr(o_orderpriority, 1, 1)')} q ON q.v = substr(o_orderpriority, 1, 1), {stats} st")
+
+
+@register("e5_feature_vectors", _vectors_sql())
 def q_e5(spark, d):
     df = _model_frame(spark, d)
-    pm = FE.feature_pipeline(_SPEC).fit(df.filter(_is_train()))
-    out = pm.transform(df)
-    return out.select("o_orderkey", *[vector_to_array(c).alias(c) for c in
-                                      ("log_scaled_features", "log_unscaled_features", "full_unscaled_features")])
+    out = FE.feature_pipeline(_SPEC).fit(df.filter(_is_train())).transform(df)
+    return out.select("o_orderkey", *[e for v in _VECTORS for e in _elements(v, 13, v, R6)])
 
 
 def _train_and_score(spark, d, reload: bool):

@@ -164,8 +164,44 @@ def test_run_stages_writes_every_stage(spark, inputs):
     paths = FL.run_stages(spark, src["flights"], src["weather"], src["stations"], src["airports"], zones,
                           f"{root}/run", horizon="1y")
     assert spark.read.parquet(paths["final_join"]).count() == 3
-    assert spark.read.parquet(paths["preprocessed"]).count() == 3
+    pre = spark.read.parquet(paths["preprocessed"])
+    assert pre.count() == 3 and pre.columns == ["FLIGHT_ID", *FL.MODEL_COLS]     # no audit columns
+    done = spark.read.parquet(paths["processed_train_test"] + "/split=train")
+    assert done.count() == 3 and spark.read.parquet(paths["processed_train_test"] + "/split=test").count() == 0
+    for stage in ("final_join", "preprocessed", "train_test"):
+        FL.check_stage(spark.read.parquet(paths[stage]), stage)
+    FL.check_stage(done, "processed")
     tt = spark.read.parquet(paths["train_test"])
     assert {r["split"] for r in tt.select("split").distinct().collect()} == {"train"}
     assert paths["final_join"].endswith("run_1y/final_join")
     assert not os.path.exists(paths["processed"].replace("file:", ""))   # no fold fits in 2 days of data
+
+
+def test_stage_contract_names_what_differs(spark, stages):
+    with pytest.raises(ValueError, match="FLIGHT_ID: missing"):
+        FL.check_stage(FL.model_table(stages["pre"]), "preprocessed")
+    with pytest.raises(ValueError, match="fold: string, not int"):
+        FL.check_stage(spark.createDataFrame([("1", "train", "x")], "fold string, role string, FLIGHT_ID string"), "rolling_windows")
+
+
+def test_train_sweep_and_blind_test(spark, stages):
+    """On processed stages made of many copies of the test flights with a label that the
+    distance tells."""
+    from eventfeat.sources import io as IO
+    many = FL.model_table(stages["pre"], keep=["FLIGHT_ID"]).crossJoin(spark.range(60).withColumnRenamed("id", "n"))
+    many = many.withColumns({"FLIGHT_ID": F.concat_ws("_", "FLIGHT_ID", "n"), "ARR_DEL15": F.pmod("n", F.lit(2)).cast("int")}).withColumn(
+        "DISTANCE", (F.col("ARR_DEL15") * 900 + F.pmod(F.col("n") * 37, F.lit(100))).cast(stages["pre"].schema["DISTANCE"].dataType))
+    cut = {"train": many.filter("n < 40").drop("n"), "val": many.filter("n >= 40").drop("n")}
+    root = IO.scratch_path(spark, "blind")
+    path = {n: f"{root}/{n}" for n in ("rolling_windows", "processed", "processed_train_test", "metrics")}
+    tr, va, _, _ = FL.process_fold(cut["train"], cut["val"], downsample_ratio=None)
+    tagged = [cut[r].withColumns({"fold": F.lit(1), "role": F.lit(r)}) for r in cut]
+    IO.write_stage(tagged[0].unionByName(tagged[1]), path["rolling_windows"], partition_by=["fold", "role"])
+    for role, name, df in (("train", "train", tr), ("val", "test", va)):
+        IO.write_stage(df, f"{path['processed']}/fold=1/role={role}")
+        IO.write_stage(df, f"{path['processed_train_test']}/split={name}")
+    got = FL.train_and_test(spark, path, max_iter=30).first()
+    assert got["roc_auc"] > 0.95 and got["tp"] + got["fp"] + got["fn"] + got["tn"] == 60
+    log = IO.metric_history(spark, path["metrics"])
+    assert {r["fold"] for r in log.select("fold").distinct().collect()} == {1, -1}
+    assert log.filter("name = 'f2'").count() == 1 and log.filter("name = 'roc_auc' AND fold = -1").count() == 1
