@@ -93,4 +93,5 @@ def pagerank(edges: DataFrame, weight: str = "weight", alpha: float = 0.85, max_
 
 def node_metrics(edges: DataFrame, weight: str = "weight", **pr_kwargs) -> DataFrame:
     """``node, pagerank, in_degree, out_degree`` ready for role joins."""
+    edges = cut_lineage(edges)  # used by both: the plan above it runs once
     return pagerank(edges, weight, **pr_kwargs).join(weighted_degrees(edges, weight), on="node", how="left")
