@@ -34,7 +34,8 @@ from eventfeat.llm import seen
 
 WINDOW = 200
 DIGIT = 64
-BLOCK = 1 << 22  # bytes of runs whose windows are compared at once
+BLOCK = 1 << 21   # bytes of runs that are sent, and compared, at once
+HASHED = 1 << 19  # bytes of runs that are hashed at once
 
 
 def _mix(h):
@@ -96,7 +97,7 @@ def _texts(batches) -> Iterator:
     import numpy as np
 
     known = set()
-    for b in batches:
+    for b in (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512)):
         for text, digest in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if text is not None and len(text) * 4 >= WINDOW and digest not in known:
                 known.add(digest)
@@ -158,8 +159,6 @@ def _compared(batches) -> Iterator:
 
     schema = pa.schema([("text", pa.binary()), ("spans", pa.binary())])
 
-    step = 4096  # runs hashed at once
-
     def hashed(held, count):
         """Hashes of the windows that lie in one run."""
         data = np.frombuffer(b"".join(r[1] for r in held), np.uint8)
@@ -173,7 +172,9 @@ def _compared(batches) -> Iterator:
         count = sizes - WINDOW + 1
         owner = np.repeat(np.arange(len(held)), count)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        h = np.concatenate([hashed(held[k:k + step], count[k:k + step]) for k in range(0, len(held), step)])
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // HASHED)) + 1  # about HASHED bytes at once
+        cuts = [0, *cuts.tolist(), len(held)]
+        h = np.concatenate([hashed(held[a:z], count[a:z]) for a, z in zip(cuts, cuts[1:])])
         # the digit is part of the window, so equal windows have it in common
         order = np.argsort(h, kind="stable")
         same = h[order[1:]] == h[order[:-1]]
