@@ -132,7 +132,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _suspects(min_chars, p, shared), "k binary, row long, id long")
     suspects = written(suspects, "line-suspects")
     drop = suspects.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("keep")).filter(F.col("n") >= min_docs)
-    lost = suspects.join(drop.select("k", "keep"), "k").filter(~F.col("id").eqNullSafe(F.col("keep"))).groupBy("row").agg(
+    # written: the join below then deals both sides out anew and a line that very many
+    # documents share can be split
+    drop = written(drop.select("k", "keep"), "line-drop")
+    lost = suspects.join(drop, "k").filter(~F.col("id").eqNullSafe(F.col("keep"))).groupBy("row").agg(
         F.collect_set("k").alias("__drop"))
     joined = docs.withColumn("__row", row).join(lost.withColumnRenamed("row", "__row"), "__row", "left").select(*docs.columns, "__drop")
     out = T.StructType([*docs.schema.fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())])
