@@ -50,6 +50,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
+SALTS = 16  # keys over which the paths of one blob are spread
+
 LEDGER_SCHEMA = "blob string, kind string, version int, spans array<struct<start:int,stop:int,ord:int,kind:string>>"
 
 
@@ -104,8 +106,11 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id
     else:
         found = known.select("blob", "kind", "version", "spans").unionByName(entries).groupBy("blob").agg(
             F.flatten(F.collect_list("spans")).alias("found")).select("blob", _ordered("found").alias("found"))
-    found = found.filter(F.size("found") > 0)
-    return paths.select("doc_id", "blob").join(found, "blob", "left"), entries
+    # copies of one blob may be a third of all paths: they are spread over SALTS keys, and
+    # the few blobs with findings are repeated for each
+    found = found.filter(F.size("found") > 0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = paths.select("doc_id", "blob", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    return spread.join(found, ["blob", "salt"], "left").drop("salt"), entries
 
 
 def _ordered(c: str) -> Column:
