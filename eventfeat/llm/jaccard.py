@@ -10,8 +10,9 @@ Texts are sets of 64-bit hashes of five-word shingles.  Two sets link when
 2. Equal sets collapse into one class.  The remaining classes' shingles are counted
    exactly; those of one class only are dropped, and the rest of each prefix is kept with
    its position: rarest shingles first, ties by hash.
-3. Candidates share a prefix shingle and pass the length, position and suffix filters (the
-   suffix filter bounds the overlap by counts in hash ranges).  First every member of a
+3. Candidates share a prefix shingle and pass the length and position filters; the suffix
+   filter bounds the overlap from above by the Hamming distance of two bit sketches, which
+   is never above that of the sets.  First every member of a
    prefix shingle's group is compared with the group's smallest id only, which yields the
    components of copies without their pairs; then the pairs of the group that are still in
    different components, whole, each once, by exact overlap.  Pairs already in one
@@ -37,7 +38,7 @@ from eventfeat.llm.components import components
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 75
-RANGES = 16       # hash ranges of the suffix filter
+SKETCH_BITS = 1024  # of the suffix filter
 FILTER_BITS = 1 << 27
 
 
@@ -61,6 +62,14 @@ def shingles(text: str | None, k: int = WORDS_PER_SHINGLE):
     return np.unique(h)
 
 
+def _sketch(h):
+    """Parity of the number of shingles in each of SKETCH_BITS hash ranges, as 64-bit words."""
+    import numpy as np
+
+    odd = np.bincount((h >> np.uint64(64 - (SKETCH_BITS.bit_length() - 1))).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def prefix_length(n, percent: int = PERCENT):
     """Shingles of which two linked sets must share one: n - ceil(t n) + 1."""
     return n - (n * percent + 99) // 100 + 1
@@ -95,7 +104,8 @@ def _sets(k: int, percent: int, p: seen.Plan, shared):
         import pyarrow as pa
         from xxhash import xxh3_128_digest
 
-        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("hs", pa.list_(pa.int64()))])
+        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("hs", pa.list_(pa.int64())),
+                            ("bits", pa.list_(pa.int64()))])
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 some = b.slice(at, 512)
@@ -110,11 +120,14 @@ def _sets(k: int, percent: int, p: seen.Plan, shared):
                 live = (n > 0) & (unique < prefix_length(n, percent))
                 keep = shared_h & live[owner]
                 cuts = np.r_[0, np.cumsum(np.bincount(owner[keep], minlength=len(hs)))].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(all_h[keep].view(np.int64)),
+                kept = all_h[keep]
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(kept.view(np.int64)),
                                                  mask=pa.array(~live))
+                bits = [_sketch(kept[a:z]) if ok else None for a, z, ok in zip(cuts[:-1], cuts[1:], live)]
                 yield pa.RecordBatch.from_arrays([
                     some.column(0), pa.array(n, pa.int64()),
-                    pa.array([xxh3_128_digest(h.tobytes()) for h in hs], pa.binary()), lists], schema=schema)
+                    pa.array([xxh3_128_digest(h.tobytes()) for h in hs], pa.binary()), lists,
+                    pa.array(bits, pa.list_(pa.int64()))], schema=schema)
 
     return run
 
@@ -124,21 +137,18 @@ def needed(n1: Column, n2: Column, percent: int = PERCENT) -> Column:
     return F.ceil(F.lit(percent) * (n1 + n2) / F.lit(100 + percent))
 
 
-def _range_counts(hs: Column) -> Column:
-    """Counts of the shingles in each of the hash ranges: bounds any overlap."""
-    shift = 64 - (RANGES.bit_length() - 1)
-    at = F.transform(hs, lambda h: F.shiftrightunsigned(h, shift))
-    return F.transform(F.sequence(F.lit(0), F.lit(RANGES - 1)), lambda r: F.size(F.filter(at, lambda x: x == r)))
-
-
 def _may_link(x: str, y: str, percent: int) -> Column:
-    """Length, position and suffix filters of two prefix entries of one shingle."""
+    """Length and position filters of two prefix entries of one shingle."""
     n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
-    need = needed(n1, n2, percent)
     left = F.least(n1 - F.col(f"{x}.pos"), n2 - F.col(f"{y}.pos"))  # shingles from here on
-    ranges = F.aggregate(F.arrays_zip(F.col(f"{x}.ranges").alias("p"), F.col(f"{y}.ranges").alias("q")), F.lit(0),
-                         lambda a, r: a + F.least(r["p"], r["q"]))
-    return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (left >= need) & (ranges >= need)
+    return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (left >= needed(n1, n2, percent))
+
+
+def _sketches_may_link(x: str, y: str, percent: int) -> Column:
+    """Suffix filter: sets that differ in d shingles have sketches that differ in d bits at
+    most, so the overlap is at most (sizes - differing bits) / 2."""
+    apart = F.aggregate(F.zip_with(f"{x}.bits", f"{y}.bits", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, b: a + b)
+    return F.col(f"{x}.m") + F.col(f"{y}.m") - apart >= 2 * needed(F.col(f"{x}.n"), F.col(f"{y}.n"), percent)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -156,11 +166,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     p = seen.plan(spark, FILTER_BITS)
     shared = seen.twice_seen(d.select("text").mapInArrow(_send(k, p), seen.MESSAGES), p)
-    rows = written(d.mapInArrow(_sets(k, percent, p, shared), "id long, n long, digest binary, hs array<long>"), "sets")
+    rows = written(d.mapInArrow(_sets(k, percent, p, shared), "id long, n long, digest binary, hs array<long>, bits array<long>"), "sets")
 
     classes = rows.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("class"))
     sets = written(rows.filter("hs IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("hs").alias("hs")).drop("digest"), "classes")
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("hs").alias("hs"), F.first("bits").alias("bits")).drop("digest"), "classes")
 
     tokens = sets.select("id", "n", F.explode("hs").alias("h"))
     counts = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
@@ -172,12 +182,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     prefix = ordered.filter(unique < prefix_n).select(
         "id", "n", F.posexplode(F.slice("ts", F.lit(1), (prefix_n - unique).cast("int"))).alias("at", "t"), unique.alias("unique")
     ).select("id", "n", F.col("t.h").alias("h"), (F.col("unique") + F.col("at")).alias("pos"))
-    ranges = sets.select("id", _range_counts(F.col("hs")).alias("ranges"))
-    entries = written(prefix.join(ranges, "id"), "prefixes")
+    entries = written(prefix, "prefixes")
 
     # first look: every member of a group with the group's smallest id
-    first = entries.groupBy("h").agg(F.min(F.struct("id", "n", "pos", "ranges")).alias("x"))
-    star = entries.select("h", F.struct("id", "n", "pos", "ranges").alias("y")).join(first, "h").filter(
+    first = entries.groupBy("h").agg(F.min(F.struct("id", "n", "pos")).alias("x"))
+    star = entries.select("h", F.struct("id", "n", "pos").alias("y")).join(first, "h").filter(
         (F.col("x.id") < F.col("y.id")) & _may_link("x", "y", percent)).select(
         F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     star = written(star, "star")
@@ -207,10 +216,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
                               & best("p.low", "p.rest", "q.low", "q.rest")).select(
         F.col("p.h").alias("h"), F.col("p.component").alias("c1"), F.col("q.component").alias("c2"),
         F.col("q.low").alias("low"), F.col("q.rest").alias("rest"))
-    member = lambda c, s: named.select("h", F.col("component").alias(c), F.struct("id", "n", "pos", "ranges").alias(s))
-    some = q.join(member("c1", "x"), ["h", "c1"]).filter(
-        F.least(F.col("x.n") - F.col("x.pos"), "rest") >= needed(F.col("x.n"), F.col("low"), percent)).select("h", "c2", "x")
-    cross = some.join(member("c2", "y"), ["h", "c2"]).filter(_may_link("x", "y", percent)).select(
+    q = written(q, "meeting")
+    sketches = sets.select("id", F.size("hs").alias("m"), "bits")
+    entry = F.struct("id", "n", "pos", "m", "bits")
+    low, rest = F.col("low"), F.col("rest")
+    xs = named.withColumnRenamed("component", "c1").join(q, ["h", "c1"]).filter(
+        F.least(F.col("n") - F.col("pos"), rest) >= needed(F.col("n"), low, percent)).select("h", "c2", "id", "n", "pos")
+    ys = named.withColumnRenamed("component", "c2").join(q.select("h", "c2").distinct(), ["h", "c2"]).select("h", "c2", "id", "n", "pos")
+    xs, ys = (d.join(sketches, "id").select("h", "c2", entry.alias(s)) for d, s in ((xs, "x"), (ys, "y")))
+    cross = xs.join(ys, ["h", "c2"]).filter(_may_link("x", "y", percent) & _sketches_may_link("x", "y", percent)).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     cross = cross.join(star, ["a", "b"], "left_anti")
     more = _verified(cross, sets, percent)
