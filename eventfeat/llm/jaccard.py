@@ -199,8 +199,28 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     smallest = entries.groupBy("h").agg(F.min("n").alias("low"))
     open_ = entries.join(smallest, "h").filter(F.col("n") - F.col("pos") >= needed(
         F.col("n"), F.greatest(F.ceil(F.col("n") * percent / 100), F.col("low")), percent)).drop("low")
-    named = open_.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
+    open_ = written(open_, "viable")
+
+    def labelled(labels):
+        return open_.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+
+    # between the looks: all others of a group with one member of its largest component, so
+    # that large components which belong together meet in few pairs
+    now = written(labelled(labels), "named")
+    one = now.groupBy("h", "component").agg(F.count("*").alias("members"), F.max_by(
+        F.struct("id", "n", "pos"), F.struct(F.col("n") - F.col("pos"), -F.col("id"))).alias("x"))
+    top = one.groupBy("h").agg(F.max_by(F.struct("component", "x"), F.struct("members", -F.col("component"))).alias("t")).select(
+        "h", F.col("t.component").alias("top"), F.col("t.x").alias("x"))
+    again = now.select("h", "component", F.struct("id", "n", "pos").alias("y")).join(top, "h").filter(
+        (F.col("component") != F.col("top")) & _may_link("x", "y", percent)).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    again = written(again.join(star, ["a", "b"], "left_anti"), "again")
+    found = written(found.unionByName(_verified(again, sets, percent)), "links-so-far")
+    star = star.unionByName(again)
+    labels = components(found)
+
+    named = labelled(labels)
     named = written(named, "open")
     parts = named.groupBy("h", "component").agg(F.count("*").alias("members"), F.min("n").alias("low"),
                                                 F.max(F.col("n") - F.col("pos")).alias("rest"))
