@@ -130,6 +130,42 @@ def test_repeats_random_passages(spark):
     assert got == sorted(((k, n, g, s, sha(kept)) for k, (n, g, s, kept) in enumerate(repeats(texts))), key=repr)
 
 
+@pytest.mark.parametrize("large", [1, 300, 5000])
+def test_repeats_of_large_digits(spark, docs, rows, large):
+    """Digits above the bound have no single owner; results stay the same."""
+    want = sorted(((r[0], n, g, s, sha(kept)) for r, (n, g, s, kept) in zip(rows, repeats([r[1] for r in rows]))), key=repr)
+    assert rows_of(rep.repeat_report(docs, large=large)) == want
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdé \n") for _ in range(330))
+    texts = []
+    for n in range(150):  # whole and cut passages, also twice in one text
+        t = "".join(rng.choice("abcdé \n") for _ in range(rng.randint(0, 300)))
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            k = rng.randint(0, len(t))
+            t = t[:k] + passage[rng.choice([0, 0, 1, 60, 150]):rng.choice([330, 330, 329, 250])] + t[k:]
+        texts.append(t)
+    texts += ["ab" * 400, "q" * 199, "q" * 200, "q" * 500, texts[0], None]
+    got = rows_of(rep.repeat_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), large=large))
+    assert got == sorted(((k, n, g, s, sha(kept)) for k, (n, g, s, kept) in enumerate(repeats(texts))), key=repr)
+
+
+def test_no_task_owns_a_passage_of_a_third_of_the_texts(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    passage = prose(rng, 60)[:260]
+    texts = [prose(rng, 40) + (passage if n % 3 == 0 else "") + prose(rng, 20) for n in range(6000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    runs = rep.find_runs(df.select("text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")), rep.seen.plan(spark))
+    windows = F.sum(F.length("bytes") - 199).alias("n")
+    assert runs.groupBy("digit").agg(windows).agg(F.max("n")).first()[0] > rep.LARGE
+    small, hot = rep.dealt(runs)
+    assert (small.groupBy("digit").agg(windows).agg(F.max("n")).first()[0] or 0) <= rep.LARGE
+    assert hot.count() >= 2000
+    got = rows_of(rep.repeat_report(df))
+    assert got == sorted(((k, n, g, s, sha(kept)) for k, (n, g, s, kept) in enumerate(repeats(texts))), key=repr)
+
+
 def _check_pieces(rows, pieces, length=2048):
     """Every id in exactly one piece, crc by the plain tokenizer, sequences gapless."""
     import numpy as np
