@@ -3,7 +3,9 @@
 A page becomes a list of nodes in page order: block elements and the text runs inside
 them (leaves).  Inline markup joins its block; ``<br>`` is white space.  End tags that
 match nothing are ignored, and a new block ends an open paragraph.  The inside of script,
-style and similar elements is no text.
+style and form control elements is no text.  Script and the like run to their own end tag
+whatever stands in between; a control without an end tag of its own, or whose parent ends
+before it, hides nothing behind that.
 """
 
 from __future__ import annotations
@@ -19,14 +21,16 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template iframe object svg math head title textarea select button canvas audio video".split())
-RAW = frozenset("script style textarea title noscript iframe".split())  # their inside is not markup
+RAW = frozenset("script style textarea title iframe".split())  # their inside is not markup
+SKIPPED = frozenset("template select button".split())           # their inside is markup, but no text
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: an opening tag of the key ends an open element of these names
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPES = frozenset("ul ol dl table body html article section main div td aside nav footer header".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]+|=\s*(?:"[^"]*"|'[^']*')|=)*+)>|[^<]+|<""", re.S)
+_RAW_END = {n: re.compile(rf"</{n}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for n in RAW}
+_SKIPPED_TAG = re.compile(rf"<(/?)({'|'.join(SKIPPED)})(?=[\s/>])", re.I | re.A)
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -67,13 +71,30 @@ def _attributes(raw: str) -> tuple[tuple[str, ...], int]:
     return tuple(names[:16]), label
 
 
+def _skipped_ends(html: str) -> dict[int, int]:
+    """Place of a skipped element's tag -> place of its end tag, if it has one."""
+    opened, ends = {n: [] for n in SKIPPED}, {}
+    for m in _SKIPPED_TAG.finditer(html):
+        held = opened[m[2].lower()]
+        if not m[1]:
+            if m[2].lower() != "template":  # only templates can be nested
+                held.clear()
+            held.append(m.start())
+        elif held:
+            ends[held.pop()] = m.start()
+    return ends
+
+
 def parse(html: str | None) -> Tree:
     """Tree of a page; null and empty pages are a lone root."""
     t = Tree()
     t.add(-1, "root")
     stack = [(0, "root")]          # open blocks
     run: list[str] = []            # text of the open run
-    linked, in_link, label, skip, skipped = 0, False, -1, "", 0
+    linked, in_link, label = 0, False, -1
+    html, pos = html or "", 0
+    ends, skip_to, inner = None, 0, []  # blocks open inside the skipped element
+    endless = set()
 
     def flush():
         nonlocal linked
@@ -90,14 +111,30 @@ def parse(html: str | None) -> Tree:
             in_link = False
         del stack[n:]
 
-    for m in _TOKEN.finditer(html or ""):
+    while pos < len(html):
+        m = _TOKEN.match(html, pos)
+        start, pos = pos, m.end()
         token, name = m[0], (m[2] or "").lower()
-        if skip:
-            if name == skip:
-                skipped += -1 if m[1] else (0 if skip in RAW else 1)
-                if skipped == 0:
-                    skip = ""
+        if name in RAW:
+            if not m[1] and not m[3].endswith("/"):
+                end = None if name in endless else _RAW_END[name].search(html, pos)
+                if end:
+                    pos = end.end()
+                elif name in ("script", "style"):
+                    break
+                endless |= set() if end else {name}
             continue
+        if start < skip_to:
+            if name in BLOCKS:
+                if not m[1]:
+                    inner += [] if name in VOID or m[3].endswith("/") else [name]
+                elif name in inner:
+                    while inner.pop() != name:
+                        pass
+                elif any(n == name for _, n in stack):
+                    skip_to = 0  # its parent ends
+            if skip_to:
+                continue
         if token[0] != "<" or len(token) == 1:
             text = unescape(token)
             run.append(text)
@@ -107,7 +144,8 @@ def parse(html: str | None) -> Tree:
             continue
         elif name in SKIPPED:
             if not m[1] and not m[3].endswith("/"):
-                skip, skipped = name, 1
+                ends = _skipped_ends(html) if ends is None else ends
+                skip_to, inner = ends.get(start, 0), []
         elif name == "br":
             run.append(" ")
         elif name == "a":

@@ -60,6 +60,33 @@ def test_corpus_pages(spark, small_dir, model):
     assert got == {k: (v, len(v)) for k, v in want.items()}
 
 
+ARTICLE = "<article><p>The article, as it stands.</p></article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<script>for(var i=0;i<n;i++){f(i)}</script>", "<script>if (i<n) s = 'it';</SCRIPT >", "<style>a<b {content: \"'\"}</style>",
+    "<script>x = '<script'; y = a<b && \"</p>\"</script>", "<head><title>t</title>", "<head><script>w('<head>')</script></head><body>",
+    "<head><title>a<b</title><meta charset=utf-8><body>", "<div><button>Menu</div>", "<button>", "<select><option>", "<svg>", "<template>",
+    "<button><div>Label</div></button>", "<template><p>no</p><template>no</template>no</template>", "<div title=don't></div>",
+    "<select><option>no</select><button>no</button>", "<textarea>no</p></textarea>", "<title>", "<noscript>", "<object>"])
+def test_nothing_before_an_article_hides_it(before):
+    tree = htmltree.parse(f"<html>{before}{ARTICLE}<p>Behind it.</p>")
+    text = [x for x in tree.text if x]
+    assert text[-2:] == ["The article, as it stands.", "Behind it."] and "no" not in " ".join(text[:-2]).split()
+
+
+def test_parts_of_an_article_that_are_text():
+    tree = htmltree.parse("<article><p>Let <math><mi>x</mi></math> be <svg><text>y</text></svg>, "
+                          "<object>z</object><noscript>, w</noscript><button>no</button>.</p></article>")
+    assert [x for x in tree.text if x] == ["Let x be y, z, w."]
+
+
+def test_script_before_an_article(spark, model):
+    page = f"<body><script>for(var i=0;i<n;i++){{f(i)}}</script>{ARTICLE}"
+    got = htmltext.extract_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), model=model).first()
+    assert got.text == "The article, as it stands."
+
+
 def test_awkward_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<p>Fish &amp; chips &lt;b&gt; caf&eacute; &#8364;5 are\n\t good   food, and cheap."),
             (5, "u", "<article><p>One<p>Two <b>bold</b>er<br>line</article></div></nav><script>if (a</b) x('</p>')</script>"), (None, "u", "<!-- <p>no</p> --><nav><a href=x>m</a></nav>"),
