@@ -68,7 +68,7 @@ def _attributes(raw: str) -> tuple[tuple[str, ...], int]:
             names += [x.lower() for x in _NAME_PARTS.findall(value)]
         elif key == "data-y":
             label = int(value)
-    return tuple(names[:16]), label
+    return tuple(dict.fromkeys(names)), label
 
 
 def _skipped_ends(html: str) -> dict[int, int]:

@@ -81,6 +81,12 @@ def test_parts_of_an_article_that_are_text():
     assert [x for x in tree.text if x] == ["Let x be y, z, w."]
 
 
+def test_all_names_of_an_element_are_kept():
+    classes = " ".join(f"{x}-{y}" for x in "flex grid pad gap row".split() for y in "sm md lg xl".split())
+    tree = htmltree.parse(f'<div class="{classes} comments" id="sidebar">x</div>')
+    assert {"flex", "xl", "comments", "sidebar"} <= set(tree.names[1]) and len(tree.names[1]) == 11
+
+
 def test_script_before_an_article(spark, model):
     page = f"<body><script>for(var i=0;i<n;i++){{f(i)}}</script>{ARTICLE}"
     got = htmltext.extract_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), model=model).first()
