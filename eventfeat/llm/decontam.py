@@ -2,17 +2,20 @@
 
 1. Word frequencies of the corpus go into a count sketch of fixed size.  A three-word
    n-gram of a test item is a rare seed if the product of its words' frequencies is below
-   ``rare``, whatever the corpus size; every item also keeps its rarest few.
+   ``rare``, whatever the corpus size; every item also keeps its rarest few, and the
+   rarest of every ``run`` words in a row.
 2. The seeds go into a Bloom filter of fixed size.  Each document is searched for them in
    whole; seeds that lie close together form one region, and regions are joined with the
    test items through the seeds themselves.
 3. Each (region, item) pair is aligned by Smith-Waterman over words (match 2, mismatch and
    gap -1).  The score as a share of the item's best possible score tells a copy, also an
-   edited or paraphrased one, from chance.
+   edited or paraphrased one, from chance.  ``run`` words of an item in a row, word for
+   word, are a leak whatever their share of the item.
 
 Words are lower-cased, and ASCII punctuation separates them.  Defined results: null or
-empty texts and items match nothing; items below ``min_words`` words are not searched (no
-score tells them from chance); repeated rows report alike, once per id and item; a null id
+empty texts and items match nothing; items below ``min_words`` words match where all their
+words stand in a row (no lower score tells them from chance), and items below ``N`` words
+where they are the whole text; repeated rows report alike, once per id and item; a null id
 is reported as null; an empty table on either side gives an empty result; extra columns
 are ignored by ``leaks`` and passed on by ``without_leaks``.
 """
@@ -32,7 +35,8 @@ SKETCH = 1 << 16      # buckets of the word count sketch
 RARE = 1e-9           # highest expected frequency of a rare seed
 ALWAYS = 4            # seeds that an item keeps even if none is rare
 MIN_WORDS = 8
-MIN_SCORE = 0.45      # share of the item's best possible score
+RUN = 13              # words in a row that are a leak by themselves
+MIN_SCORE = 0.40      # share of the item's best possible score; 0.33 is the highest of clean text in check_s
 REACH = 2             # a region reaches this many item lengths around its seeds
 _PUNCT = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
 
@@ -78,6 +82,27 @@ def align(item: list[bytes], words: list[bytes]) -> int:
     return best
 
 
+def longest_run(item: list[bytes], words: list[bytes]) -> int:
+    """Most words in a row that ``item`` and ``words`` have in common."""
+    import numpy as np
+
+    number: dict[bytes, int] = {}
+    a = [number.setdefault(w, len(number)) for w in item]
+    b = np.array([number.get(w, -1) for w in words])
+    row, best = np.zeros(len(b) + 1, np.int64), 0
+    for x in a:
+        row[1:] = np.where(b == x, row[:-1] + 1, 0)
+        best = max(best, int(row.max()))
+    return best
+
+
+def _filled(h):
+    """A text below ``N`` words has one n-gram, of itself and nothing more."""
+    import numpy as np
+
+    return np.r_[h, np.zeros(max(0, N - len(h)), np.uint64)] if len(h) else h
+
+
 def _counted(batches) -> Iterator:
     """Words of a task, counted by sketch bucket."""
     import numpy as np
@@ -99,7 +124,7 @@ def _counted(batches) -> Iterator:
                                      schema=pa.schema([("bucket", pa.int64()), ("n", pa.int64())]))
 
 
-def _seeds(shared, rare: float, min_words: int):
+def _seeds(shared, rare: float, run_words: int):
     """(item, h) of the seeds of each test item."""
 
     def run(batches) -> Iterator:
@@ -111,13 +136,16 @@ def _seeds(shared, rare: float, min_words: int):
             items, hs = [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 w = normal_words(text)
-                if len(w) < min_words:
+                if not w:
                     continue
-                h = _hashes(w)
+                h = _filled(_hashes(w))
                 f = freq[((h >> np.uint64(24)) & np.uint64(SKETCH - 1)).astype(np.int64)]
                 g = _grams(h)
                 p = np.prod([f[k:k + len(g)] for k in range(N)], axis=0)
                 keep = (p < rare) | (np.argsort(np.argsort(p, kind="stable")) < ALWAYS)
+                size = max(1, run_words - N + 1)  # n-grams of a run
+                for k in range(len(g) - size + 1):
+                    keep[k + np.argmin(p[k:k + size])] = True
                 for x in np.unique(g[keep].view(np.int64)).tolist():
                     items.append(i)
                     hs.append(x)
@@ -151,9 +179,9 @@ def _regions(p: seen.Plan, shared, reach: int):
             out = [[] for _ in schema]
             for row, i, text in zip(*(b.column(n).to_pylist() for n in range(3))):
                 w = normal_words(text)
-                if len(w) < N:
+                if not w:
                     continue
-                g = _grams(_hashes(w))
+                g = _grams(_filled(_hashes(w)))
                 at = np.flatnonzero(seen.hits(shared.value, g, p))
                 if not len(at):
                     continue
@@ -167,7 +195,7 @@ def _regions(p: seen.Plan, shared, reach: int):
     return run
 
 
-def _aligned(min_score: float):
+def _aligned(min_score: float, min_words: int, run_words: int):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
@@ -176,8 +204,15 @@ def _aligned(min_score: float):
             out = [[] for _ in schema]
             for row, i, item, words, text in zip(*(b.column(n).to_pylist() for n in range(5))):
                 w = normal_words(text)
-                score = align(w, words.split()) / (2 * len(w))
-                if score >= min_score:
+                words = words.split()
+                score = align(w, words) / (2 * len(w))
+                if len(w) < N:
+                    found = w == words
+                elif len(w) < min_words:
+                    found = longest_run(w, words) == len(w)
+                else:
+                    found = score >= min_score or score * len(w) >= run_words and longest_run(w, words) >= run_words
+                if found:
                     for col, v in zip(out, (row, i, item, score)):
                         col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
@@ -185,7 +220,7 @@ def _aligned(min_score: float):
     return run
 
 
-def _leaks(docs: DataFrame, benchmark: DataFrame, id_col, text_col, item_col, item_text, rare, min_words, min_score) -> DataFrame:
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col, text_col, item_col, item_text, rare, min_words, min_score, run) -> DataFrame:
     import numpy as np
 
     spark = docs.sparkSession
@@ -200,7 +235,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col, text_col, item_col, it
     for bucket, n in counts.collect():  # SKETCH rows at most
         freq[bucket] = n
     shared = spark.sparkContext.broadcast(freq / max(1.0, freq.sum()))
-    seeds = written(tests.select("key", "item_text").mapInArrow(_seeds(shared, rare, min_words), "item long, h long"), "seeds")
+    seeds = written(tests.select("key", "item_text").mapInArrow(_seeds(shared, rare, run), "item long, h long"), "seeds")
 
     p = seen.plan(spark)
     member = seen.twice_seen(seeds.select("h").mapInArrow(_member_messages(p), seen.MESSAGES), p)
@@ -212,21 +247,22 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col, text_col, item_col, it
     whole = regions.dropDuplicates(["row", "start"]).select("row", "start", "id", "words")
     both = pairs.join(whole, ["row", "start"]).join(tests.select(F.col("key").alias("item"), F.col("item").alias("item_id"), "item_text"), "item")
     return both.select("row", "id", "item_id", "words", "item_text").mapInArrow(
-        _aligned(min_score), "row long, doc_id long, item_id long, score double")
+        _aligned(min_score, min_words, run), "row long, doc_id long, item_id long, score double")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text: str = "text", rare: float = RARE, min_words: int = MIN_WORDS, min_score: float = MIN_SCORE) -> DataFrame:
-    """``doc_id, item_id, score`` of every document that holds a test item or an edited
-    copy of it."""
-    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text, rare, min_words, min_score)
+          item_text: str = "text", rare: float = RARE, min_words: int = MIN_WORDS, min_score: float = MIN_SCORE,
+          run: int = RUN) -> DataFrame:
+    """``doc_id, item_id, score`` of every document that holds a test item, an edited
+    copy of it or ``run`` of its words in a row."""
+    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text, rare, min_words, min_score, run)
     return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", rare: float = RARE, min_words: int = MIN_WORDS,
-                  min_score: float = MIN_SCORE) -> DataFrame:
+                  min_score: float = MIN_SCORE, run: int = RUN) -> DataFrame:
     """The rows of ``docs`` (all their columns) that hold no test item."""
-    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text, rare, min_words, min_score)
+    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text, rare, min_words, min_score, run)
     rows = written(found.select(F.col("row").alias("__row")).distinct(), "leaks")
     return docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col))).join(rows, "__row", "left_anti").select(*docs.columns)

@@ -232,6 +232,27 @@ def test_decontamination(spark, docs, empty):
     assert decontam.without_leaks(docs, bench).columns == docs.columns
 
 
+def test_decontamination_of_parts_and_short_items(spark):
+    rng = random.Random(9)
+    common = [f"c{k}" for k in range(40)]  # no n-gram of these words is rare
+    fill = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    long = [" ".join(rng.choice(common + [f"t{n}x{k}" for k in range(3)]) for _ in range(59)).split() for n in range(8)]
+    items = [(n, " ".join(w)) for n, w in enumerate(long)] + [(50, "Who wrote Faust?"), (51, "blue whale"), (52, "Paris"), (53, fill(59))]
+    docs, want = [(900 + n, fill(200)) for n in range(20)], set()
+    for n, w in enumerate(long):
+        for k, (a, z) in enumerate([(0, 26), (33, 59), (20, 33)]):  # halves, and thirteen words of the middle
+            docs.append((10 * n + k, f"{fill(80)} odd{n} {' '.join(w[a:z]).upper()}, odd{n} {fill(80)}"))
+            want.add((10 * n + k, n))
+        docs.append((10 * n + 9, f"{fill(80)} odd{n} {' '.join(w[20:28])} odd{n} {fill(80)}"))  # eight are too few
+    docs += [(500, fill(50) + " who wrote Faust " + fill(50)), (501, fill(50) + " who wrote the Faust " + fill(50)), (502, "Blue whale."), (503, "a blue whale"),
+             (504, " PARIS "), (505, "Paris Paris")]
+    want |= {(500, 50), (502, 51), (504, 52)}
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(table, bench).collect()} == want
+    left = {r.doc_id for r in decontam.without_leaks(table, bench).collect()}
+    assert left == {i for i, _ in docs} - {i for i, _ in want}
+
+
 def test_alignment_score():
     w = "a b c d e f g h".split()
     enc = lambda x: [y.encode() for y in x]
