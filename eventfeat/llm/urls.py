@@ -75,7 +75,7 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence:
     items = labelled.select(F.when(F.col("bad"), F.concat(F.col("tokens"), F.array(F.lit("!bad")))).otherwise(F.col("tokens")).alias("items"))
     empty = spark.createDataFrame([], "tokens array<string>, size int, support_rows long, confidence double")
     n = items.count()
-    if n == 0:
+    if n < max(1, min_rows):  # no rule can reach the support
         return empty
     sets = FPGrowth(itemsCol="items", minSupport=max(min_support * 0.5, min_rows / n), minConfidence=min_confidence).fit(
         items).freqItemsets

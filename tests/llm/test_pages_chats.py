@@ -87,6 +87,15 @@ def test_all_names_of_an_element_are_kept():
     assert {"flex", "xl", "comments", "sidebar"} <= set(tree.names[1]) and len(tree.names[1]) == 11
 
 
+@pytest.mark.parametrize("n", [1, 5, 19, 20])
+def test_few_labelled_urls(spark, n):
+    pages = spark.createDataFrame([(k, f"https://site{k}.example/a/{k}") for k in range(30)] + [(99, "https://x.example/")], "page_id long, url string")
+    labels = spark.createDataFrame([(k, 0, 1) for k in range(n)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(pages, labels).collect()}
+    alone = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(pages).collect()}
+    assert len(got) == 31 and (n == 20 or got == alone)
+
+
 def test_script_before_an_article(spark, model):
     page = f"<body><script>for(var i=0;i<n;i++){{f(i)}}</script>{ARTICLE}"
     got = htmltext.extract_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), model=model).first()
