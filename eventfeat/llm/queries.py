@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventfeat.llm import chat, decontam, htmltext, jaccard, linededup, packing, quality, repeats, secrets, urls
+from eventfeat.llm import (chat, decontam, htmltext, jaccard, linededup, packing, periods, pieces, quality, repair, repeats,
+                           secrets, urls)
 from eventfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,19 @@ def op3(spark, sf_dir):
 @_query("op4_html_extraction")
 def op4(spark, sf_dir):
     return htmltext.extract_text(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_periodic_run_detection")
+def op11(spark, sf_dir):
+    return periods.run_report(periods.find_runs(periods.with_periodic_tails(table(spark, sf_dir, "documents"))))
+
+
+@_query("op12_conversation_structure_repair", repair.oracle_sql())
+def op12(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair_report(rows, *repair.repair_turns(repair.damaged(rows)))
+
+
+@_query("op13_sentencepiece_encoding")
+def op13(spark, sf_dir):
+    return pieces.piece_digest(pieces.encode_pieces(table(spark, sf_dir, "documents")))

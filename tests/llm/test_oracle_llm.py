@@ -21,11 +21,16 @@ COLUMNS = {
                             "loss_sha256": "string", "formatted_chars": "bigint"},
     "op9_secret_scans": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
     "op10_url_filters": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    "op11_periodic_run_detection": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+                                    "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12_conversation_structure_repair": {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint",
+                                           "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
+    "op13_sentencepiece_encoding": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11)]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
