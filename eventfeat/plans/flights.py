@@ -38,6 +38,7 @@ from eventfeat.operators import joins as J
 from eventfeat.operators import profile as P
 from eventfeat.operators import sequence as S
 from eventfeat.operators import split as V
+from eventfeat.operators import zones as Z
 from eventfeat.operators.asof import asof_join, match_rate
 from eventfeat.operators.features import FeatureSpec, feature_pipeline
 from eventfeat.plans import presets as PR
@@ -168,7 +169,7 @@ _ROLE_NAMES = {
 def enrich_and_localize(flights: DataFrame, airports_clean: DataFrame, airports_backup: DataFrame, zones: DataFrame,
                         compat: bool = False) -> DataFrame:
     """Origin/destination attributes (primary table, backup fills gaps), roll-over
-    dates, local timestamps, zone of each airport (nearest reference point, J11),
+    dates, local timestamps, zone of each airport (the zone around it, or nearest reference point, J11),
     UTC timestamps and hour columns."""
     df = flights
     for role, names in _ROLE_NAMES.items():
@@ -190,8 +191,12 @@ def enrich_and_localize(flights: DataFrame, airports_clean: DataFrame, airports_
     }
     df = df.withColumns(local)
     # zone per airport from the airport table (one row per airport), joined on both roles
-    zone_of = J.zone_lookup(airports_backup.select("iata_code", "latitude", "longitude").dropDuplicates(["iata_code"]),
-                            zones, "iata_code", "latitude", "longitude").select("iata_code", F.col("zone").alias("TIMEZONE"))
+    places = airports_backup.select("iata_code", "latitude", "longitude").dropDuplicates(["iata_code"])
+    if "ring" in zones.columns:  # borders: zone_id, zone, ring, seq, lat, lon
+        zone_of = Z.zone_containing(places, zones, "latitude", "longitude", zone_cols=["zone"])
+    else:
+        zone_of = J.zone_lookup(places, zones, "iata_code", "latitude", "longitude")
+    zone_of = zone_of.select("iata_code", F.col("zone").alias("TIMEZONE"))
     df = J.enrich_roles(df, zone_of, "iata_code", {"ORIGIN_": "ORIGIN", "DEST_": "DEST"})
     df = df.withColumns({
         "DEP_DATETIME_UTC": TC.to_utc("DEP_DATETIME_LOCAL", "ORIGIN_TIMEZONE"),

@@ -10,6 +10,7 @@ from eventfeat.operators import clean as C
 from eventfeat.operators import joins as J
 from eventfeat.operators import sequence as S
 from eventfeat.operators.asof import asof_join, match_rate, nearest_per_key
+from eventfeat.operators.zones import zone_containing
 from eventfeat.plans.fixtures import fixture, with_fixtures
 from eventfeat.plans.presets import us_holidays
 from eventfeat.plans.registry import register
@@ -337,6 +338,51 @@ def q_j11(spark, d):
     return r.select("c_custkey", "zone_id", "zone", F.round("zone_km", R6).alias("zone_km"))
 
 
+# Zones by containment: an eight-cornered zone around a place of each nation, some with a
+# hole, some over the date line; points by event.  All numbers are binary fractions, so
+# both engines compute the same borders.
+_CORNERS = [(8, 0), (6, 6), (0, 8), (-6, 6), (-8, 0), (-6, -6), (0, -8), (6, -6)]  # fixed values
+_HOLE = [(1.25, 1.25), (-1.25, 1.25), (-1.25, -1.25), (1.25, -1.25)]
+_CX, _CY = "((n_nationkey * 37) % 360 - 180)", "((n_nationkey * 29) % 120 - 60)"
+
+
+def _corner_rows() -> list[tuple[str, int, int, str, str]]:
+    """(condition, ring, seq, x, y) of each corner as SQL."""
+    out = [("n_nationkey >= 0", 0, k, f"CAST({_CX} AS DOUBLE) + {a} * ((n_nationkey * 3 + {k * 5}) % 4 + 1) / 2",
+            f"CAST({_CY} AS DOUBLE) + {b} * ((n_nationkey * 3 + {k * 5}) % 4 + 1) / 2") for k, (a, b) in enumerate(_CORNERS)]
+    return out + [("n_nationkey % 2 = 0", 1, k, f"CAST({_CX} AS DOUBLE) + CAST({a} AS DOUBLE)", f"CAST({_CY} AS DOUBLE) + CAST({b} AS DOUBLE)")
+                  for k, (a, b) in enumerate(_HOLE)]
+
+
+_POINT = {"lon": "CAST(event_id * 131 % 2881 AS DOUBLE) / 8 - 180", "lat": "CAST(event_id * 73 % 1281 AS DOUBLE) / 8 - 80"}
+_CONTAIN_SQL = f"""
+WITH v AS ({" UNION ALL ".join(f"SELECT n_nationkey AS zone_id, n_name AS zone, {r} AS ring, {k} AS seq, {x} AS x, {y} AS y FROM nation WHERE {c}" for c, r, k, x, y in _corner_rows())}),
+e AS (SELECT zone_id, x AS x1, y AS y1,
+        coalesce(lead(x) OVER w, first(x) OVER w) AS x2, coalesce(lead(y) OVER w, first(y) OVER w) AS y2
+      FROM v WINDOW w AS (PARTITION BY zone_id, ring ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+p AS (SELECT DISTINCT {_POINT['lon']} AS lon, {_POINT['lat']} AS lat FROM events),
+t AS (SELECT lon, lat, CASE WHEN lon = 180 THEN -180 ELSE lon END + s AS x FROM p, (VALUES (-360), (0), (360)) AS v(s)),
+h AS (SELECT lon, lat, x, zone_id FROM t JOIN e ON (y1 <= lat) <> (y2 <= lat) AND x < x1 + (lat - y1) * (x2 - x1) / (y2 - y1)
+      GROUP BY ALL HAVING count(*) % 2 = 1),
+z AS (SELECT lon, lat, min(zone_id) AS zone_id FROM h GROUP BY lon, lat)
+SELECT event_id, z.zone_id, n_name AS zone
+FROM (SELECT event_id, {_POINT['lon']} AS lon, {_POINT['lat']} AS lat FROM events) a
+LEFT JOIN z ON a.lon = z.lon AND a.lat = z.lat LEFT JOIN nation ON zone_id = n_nationkey"""
+
+
+@register("j11_zone_containing", _CONTAIN_SQL)
+def q_j11c(spark, d):
+    t = Tables(spark, d)
+    corner = F.explode(F.array(*[F.when(F.expr(c), F.struct(F.lit(r).alias("ring"), F.lit(k).alias("seq"), F.expr(x).alias("x"), F.expr(y).alias("lat")))
+                                 for c, r, k, x, y in _corner_rows()]))
+    v = t.nation.select(F.col("n_nationkey").alias("zone_id"), F.col("n_name").alias("zone"), corner.alias("v")).filter("v IS NOT NULL")
+    # longitudes as a map has them, from -180 to 180
+    v = v.select("zone_id", "zone", "v.ring", "v.seq", "v.lat", (F.pmod(F.col("v.x") + 180, F.lit(360.0)) - 180).alias("lon"))
+    pts = t.events.select("event_id", *[F.expr(e).alias(c) for c, e in _POINT.items()])
+    r = zone_containing(pts, v, "lat", "lon", zone_cols=["zone"], cell_deg=5.0)
+    return r.select("event_id", "zone_id", "zone")
+
+
 # ---------------------------------------------------------------- W1-W5
 
 @register("w1_top1", """

@@ -112,6 +112,19 @@ def test_enrich_and_localize(stages):
     assert r3["ARR_HOUR"] == 24
 
 
+def test_zones_by_border_localize_alike(spark, inputs, stages):
+    """Zone borders in place of reference points: the same local times here, and an airport
+    nearer to the other zone's point keeps the zone around it."""
+    box = {1: ("America/New_York", -85, -60), 2: ("America/Chicago", -100, -85)}
+    borders = spark.createDataFrame(
+        [(z, name, 0, k, float(y), float(x)) for z, (name, a, b) in box.items() for k, (x, y) in enumerate([(a, 25), (b, 25), (b, 50), (a, 50)])],
+        "zone_id int, zone string, ring int, seq int, lat double, lon double")
+    _, backup = FL.airport_stations(inputs[2], inputs[3], stages["fl"])
+    full = FL.enrich_and_localize(stages["fl"], stages["ap"], backup, borders)
+    cols = ["FLIGHT_ID", "CRS_DEP_DATETIME_UTC", "CRS_ARR_DATETIME_UTC"]
+    assert sorted(full.select(*cols).collect()) == sorted(stages["full"].select(*cols).collect())
+
+
 def test_final_join(stages):
     joined = stages["joined"]
     assert joined.count() == 3
