@@ -100,19 +100,23 @@ def hash_sample(df: DataFrame, fraction: float, key: str | Column, seed: int = 4
     return df.filter(hash_unit(key, seed) < F.lit(float(fraction)))
 
 
+def keep_majority(y: str, key: str | Column, positives: int, negatives: int, target_ratio: float = 1.0, seed: int = 42,
+                  majority: int = 0) -> Column | None:
+    """V6 as a condition from known class counts; None where every row stays."""
+    keep = positives / negatives / target_ratio if negatives else 1.0
+    if keep >= 1.0:
+        return None
+    return (F.col(y) != majority) | F.col(y).isNull() | (hash_unit(key, seed) < F.lit(float(keep)))
+
+
 def downsample(df: DataFrame, y: str, key: str | Column, target_ratio: float = 1.0, seed: int = 42,
                majority: int = 0, minority: int = 1) -> DataFrame:
     """V6: keep every minority row and a hash-chosen share
     ``keep = (minority/majority) / target_ratio`` of the majority rows; no-op if
     keep >= 1.  One count pass, then a single filter (no union)."""
     row = df.agg(F.count_if(F.col(y) == minority).alias("pos"), F.count_if(F.col(y) == majority).alias("neg")).first()
-    pos, neg = row["pos"], row["neg"]
-    if not neg:
-        return df
-    keep = (pos / neg) / target_ratio
-    if keep >= 1.0:
-        return df
-    return df.filter((F.col(y) != majority) | F.col(y).isNull() | (hash_unit(key, seed) < F.lit(float(keep))))
+    cond = keep_majority(y, key, row["pos"], row["neg"], target_ratio, seed, majority)
+    return df if cond is None else df.filter(cond)
 
 
 def fold_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

@@ -41,6 +41,7 @@ from eventfeat.operators import split as V
 from eventfeat.operators import zones as Z
 from eventfeat.operators.asof import asof_join, match_rate
 from eventfeat.operators.features import FeatureSpec, feature_pipeline
+from eventfeat.operators.folds import process_folds
 from eventfeat.plans import presets as PR
 
 # --- fixed values: column lists of the flight pipeline
@@ -327,6 +328,14 @@ def process_fold(train: DataFrame, val: DataFrame, target: str = "ARR_DEL15", do
     return tr, va, pm, sk.cols
 
 
+def process_windows(windows: DataFrame, target: str = "ARR_DEL15", downsample_ratio: float | None = 1.0, seed: int = 42,
+                    log_candidates: Sequence[str] = PR.LOG_CANDIDATES):
+    """``process_fold`` for all folds of the rolling windows in one pass; returns the rows
+    of all folds and their fitted statistics."""
+    spec = FeatureSpec(numeric=PR.NUM_COLS, categorical=PR.CAT_COLS + PR.CYCLICAL_COLS, binary=PR.BINARY_COLS)
+    return process_folds(windows, spec, log_candidates, target=target, key="FLIGHT_ID", downsample_ratio=downsample_ratio, seed=seed)
+
+
 _STAGE_SUFFIX = {"3m": "3m", "6m": "6m", "1y": "1y", "5y": "all"}
 
 
@@ -367,16 +376,11 @@ def run_stages(spark, flights_path: str, weather_path: str, stations_path: str,
     train = IO.read_partition(spark, path["train_test"], split="train").drop("split")
     ts = "CRS_DEP_DATETIME_UTC"
     folds = V.rolling_windows(train, ts, *V.ROLLING[horizon])
-    fold_ids = [r["fold"] for r in folds.select("fold").collect()]   # a handful of folds
-    if fold_ids:
+    if not folds.isEmpty():
         IO.write_stage(check_stage(V.assign_folds(train, ts, folds), "rolling_windows"), path["rolling_windows"], partition_by=["fold", "role"])
         windows = spark.read.parquet(path["rolling_windows"])
-        for fold in fold_ids:
-            part = windows.filter(F.col("fold") == fold)
-            tr, va, _, _ = process_fold(part.filter(F.col("role") == "train").drop("fold", "role"),
-                                        part.filter(F.col("role") == "val").drop("fold", "role"))
-            IO.write_stage(check_stage(tr, "processed"), f"{path['processed']}/fold={fold}/role=train")
-            IO.write_stage(check_stage(va, "processed"), f"{path['processed']}/fold={fold}/role=val")
+        done, _ = process_windows(windows)
+        IO.write_stage(check_stage(done, "processed"), path["processed"], partition_by=["fold", "role"])
     if not train.isEmpty():
         test = spark.read.parquet(path["train_test"]).filter(F.col("split") == "test").drop("split")
         tr, te, _, _ = process_fold(train, test, downsample_ratio=None)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from eventfeat.functions import numeric as N
 from eventfeat.operators import evaluate as EV
 from eventfeat.operators import features as FE
+from eventfeat.operators import split as SP
+from eventfeat.operators.folds import process_folds
 from eventfeat.operators.split import hash_sample
 from eventfeat.plans.fixtures import fixture, with_fixtures
 from eventfeat.plans.presets import BASELINE_PR_AUC, EARLY_STOP_MIN_DELTA, EARLY_STOP_PATIENCE, OVERFIT_GAP, SWEEP_THRESHOLDS
@@ -225,6 +227,42 @@ def q_e5(spark, d):
     return out.select("o_orderkey", *[e for v in _VECTORS for e in _elements(v, 13, v, R6)])
 
 
+# Fold processing: two folds of orders by date, all statistics per fold
+_FOLDS = [(1, "1992-01-01", "1996-01-01", "1997-01-01"), (2, "1993-01-01", "1998-01-01", "1999-01-01")]
+
+
+def _fold_vectors_sql() -> str:
+    folds = ", ".join(f"({f}, TIMESTAMP '{a}', TIMESTAMP '{b}', TIMESTAMP '{c}')" for f, a, b, c in _FOLDS)
+    log, key = "sign(o_totalprice) * ln(1 + abs(o_totalprice))", "CAST(o_custkey AS DOUBLE)"
+    label = lambda e: (f"(SELECT fold, {e} AS v, row_number() OVER (PARTITION BY fold ORDER BY count(*) DESC, {e}) - 1 AS idx "
+                       f"FROM w WHERE role = 'train' GROUP BY fold, {e})")
+    numeric = {"log_scaled_features": [f"({key} - m1) / s1", f"({log} - m2) / s2"], "log_unscaled_features": [key, log],
+               "full_unscaled_features": [key, "o_totalprice"]}
+    cols = []
+    for name in _VECTORS:
+        parts = [f"round({x}, {R6})" for x in numeric[name]]
+        parts += [f"CASE WHEN p.idx = {i} THEN 1.0 ELSE 0.0 END" for i in range(5)]
+        parts += [f"CASE WHEN q.idx = {i} THEN 1.0 ELSE 0.0 END" for i in range(5)] + ["CAST(o_orderkey % 2 AS DOUBLE)"]
+        cols += [f"CAST({x} AS DOUBLE) AS {name}_{i}" for i, x in enumerate(parts)]
+    return f"""
+WITH f AS (SELECT * FROM (VALUES {folds}) AS v(fold, a, b, c)),
+w AS (SELECT o.*, fold, CASE WHEN o_orderdate < b THEN 'train' ELSE 'val' END AS role FROM orders o JOIN f ON o_orderdate >= a AND o_orderdate < c),
+st AS (SELECT fold, avg({key}) AS m1, stddev_samp({key}) AS s1, avg({log}) AS m2, stddev_samp({log}) AS s2,
+         count(*) FILTER (o_orderstatus = 'F') AS pos, count(*) FILTER (o_orderstatus <> 'F') AS neg FROM w WHERE role = 'train' GROUP BY fold)
+SELECT o_orderkey, w.fold, role, {', '.join(cols)} FROM w JOIN st ON w.fold = st.fold
+LEFT JOIN {label('o_orderpriority')} p ON p.v = o_orderpriority AND p.fold = w.fold
+LEFT JOIN {label('substr(o_orderpriority, 1, 1)')} q ON q.v = substr(o_orderpriority, 1, 1) AND q.fold = w.fold
+WHERE role = 'val' OR o_orderstatus = 'F' OR CAST(('0x' || substr(md5('42:' || CAST(o_orderkey AS STRING)), 1, 8)) AS BIGINT) / 4294967296.0 < pos / neg / 2.0"""
+
+
+@register("v6_fold_features", _fold_vectors_sql())
+def q_fold_features(spark, d):
+    w = SP.assign_folds(_model_frame(spark, d).drop("o_totalprice_log"), "o_orderdate", SP.fold_table(spark, _FOLDS))
+    spec = FE.FeatureSpec(numeric=_SPEC.numeric, categorical=_SPEC.categorical, binary=_SPEC.binary)
+    out, _ = process_folds(w, spec, ["o_totalprice"], skew_threshold=0.0, target="y", key="o_orderkey", downsample_ratio=2.0)
+    return out.select("o_orderkey", "fold", "role", *[e for v in _VECTORS for e in _elements(v, 13, v, R6)])
+
+
 def _train_and_score(spark, d, reload: bool):
     from eventfeat.operators.train import ARCH, MAX_ITER, score, train_mlp
     from eventfeat.sources.io import load_model, save_model, scratch_path
