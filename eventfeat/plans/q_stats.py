@@ -3,6 +3,7 @@ transforms (X9, X11) and scored-table scalars (X14, X15)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventfeat.functions import numeric as N
@@ -15,7 +16,7 @@ from eventfeat.plans.registry import register
 from eventfeat.plans.tables import Tables
 
 R6 = 6
-PR_ALPHA, PR_TOL, PR_UNROLL = 0.85, 1.0e-6, 12  # the query tables converge in 4 steps
+PR_ALPHA, PR_TOL = 0.85, 1.0e-6
 
 # ---------------------------------------------------------------- graph A1-A3, J9
 
@@ -58,32 +59,23 @@ def q_a2(spark, d):
     return G.weighted_degrees(_edges(spark, d))
 
 
-def _pagerank_sql(edges_sql: str, k: int = PR_UNROLL) -> str:
-    """Unrolled power iteration with the same stopping rule (first k with L1 < N*tol)."""
+def _pagerank_sql(edges_sql: str) -> str:
+    """Power iteration that recurs until the L1 change is below N * tol."""
     a = PR_ALPHA
-    parts = [
-        f"e AS MATERIALIZED ({edges_sql})",
-        "ow AS MATERIALIZED (SELECT src, sum(weight) AS ow FROM e GROUP BY src)",
-        "en AS MATERIALIZED (SELECT e.src, e.dst, CAST(e.weight AS DOUBLE) / ow.ow AS p FROM e JOIN ow ON e.src = ow.src)",
-        "nd AS MATERIALIZED (SELECT node, node NOT IN (SELECT src FROM ow) AS dangling FROM "
-        "(SELECT src AS node FROM e UNION SELECT dst FROM e))",
-        "nn AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n FROM nd)",
-        "r0 AS MATERIALIZED (SELECT nd.node, nd.dangling, 1.0 / nn.n AS r, CAST(NULL AS DOUBLE) AS err FROM nd, nn)",
-    ]
-    for i in range(1, k + 1):
-        p = f"r{i - 1}"
-        parts.append(f"""r{i} AS MATERIALIZED (
-  WITH c AS (SELECT en.dst AS node, sum({p}.r * en.p) AS s FROM en JOIN {p} ON en.src = {p}.node GROUP BY en.dst),
-       dm AS (SELECT coalesce(sum(CASE WHEN dangling THEN r ELSE 0 END), 0) AS dm FROM {p}),
-       x AS (SELECT {p}.node, {p}.dangling, {p}.r AS old,
-                    {a!r} * (coalesce(c.s, 0) + dm.dm / nn.n) + {(1 - a)!r} / nn.n AS r
-             FROM {p} LEFT JOIN c ON {p}.node = c.node, dm, nn)
-  SELECT node, dangling, r, (SELECT sum(abs(r - old)) FROM x) AS err FROM x)""")
-    union = " UNION ALL ".join(f"SELECT {i} AS it, node, r, err FROM r{i}" for i in range(1, k + 1))
-    parts.append(f"allr AS ({union})")
-    parts.append("stop AS (SELECT min(it) AS it FROM allr, nn WHERE err < nn.n * " + repr(PR_TOL) + ")")
-    return ("WITH " + ",\n".join(parts) +
-            f"\nSELECT node, round(r, {R6}) AS pagerank FROM allr WHERE it = (SELECT it FROM stop)")
+    return f"""
+WITH RECURSIVE e AS MATERIALIZED ({edges_sql}),
+ow AS MATERIALIZED (SELECT src, sum(weight) AS ow FROM e GROUP BY src),
+en AS MATERIALIZED (SELECT e.src, e.dst, CAST(e.weight AS DOUBLE) / ow.ow AS p FROM e JOIN ow ON e.src = ow.src),
+nd AS MATERIALIZED (SELECT node, node NOT IN (SELECT src FROM ow) AS dangling FROM (SELECT src AS node FROM e UNION SELECT dst FROM e)),
+nn AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n FROM nd),
+steps AS (SELECT 0 AS it, nd.node, nd.dangling, 1.0::DOUBLE / nn.n AS r, CAST('inf' AS DOUBLE) AS err FROM nd, nn
+  UNION ALL
+  SELECT it, node, dangling, r, sum(abs(r - old)) OVER () AS err FROM (
+    SELECT p.it + 1 AS it, p.node, p.dangling, p.r AS old, {a!r} * (coalesce(c.s, 0) + p.dm / nn.n) + {1 - a!r} / nn.n AS r
+    FROM (SELECT *, sum(CASE WHEN dangling THEN r ELSE 0 END) OVER () AS dm FROM steps) p
+    LEFT JOIN (SELECT en.dst AS node, sum(q.r * en.p) AS s FROM en JOIN steps q ON en.src = q.node GROUP BY en.dst) c ON p.node = c.node, nn
+    WHERE p.err >= nn.n * {PR_TOL!r}) x)
+SELECT node, round(r, {R6}) AS pagerank FROM steps WHERE it = (SELECT max(it) FROM steps)"""
 
 
 @register("a3_pagerank", _pagerank_sql(_EDGES_SQL))
@@ -92,6 +84,19 @@ def q_a3(spark, d):
     return pr.select("node", F.round("pagerank", R6).alias("pagerank"))
 
 
+_PATHS_SQL = """SELECT src, dst, 1 AS weight FROM (SELECT c_custkey AS src,
+  lead(c_custkey) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS dst FROM customer) p WHERE dst IS NOT NULL"""
+
+
+@register("a3_pagerank_paths", _pagerank_sql(_PATHS_SQL))
+def q_a3_paths(spark, d):
+    """Each nation's customers as one path: rank walks down it for many steps."""
+    w = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    paths = Tables(spark, d).customer.select(F.col("c_custkey").alias("src"), F.lead("c_custkey").over(w).alias("dst"), F.lit(1).alias("weight"))
+    pr = G.pagerank(paths.filter("dst IS NOT NULL"), alpha=PR_ALPHA, tol=PR_TOL)
+    return pr.select("node", F.round("pagerank", R6).alias("pagerank"))
+
+
 @register("j9_node_metrics_roles", f"""
 WITH pr AS ({_pagerank_sql(_EDGES_SQL)}), dg AS ({_DEG_SQL}),
      f AS (SELECT l.l_orderkey, l.l_linenumber, s.s_nationkey AS src, c.c_nationkey AS dst

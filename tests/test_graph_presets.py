@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
-from eventfeat.operators.graph import pagerank, weighted_degrees
+from pyspark.sql import functions as F
+
+from eventfeat.operators.graph import pagerank, salted_edges, weighted_degrees
 from eventfeat.operators.split import rolling_windows
 from eventfeat.plans.presets import us_holidays
 
@@ -39,6 +41,26 @@ def test_pagerank_with_dangling_node(spark):
     assert deg["D"] == (5.0, 0.0) and deg["E"] == (0.0, 1.0)
 
 
+def test_hub_sources_spread_and_rank_alike(spark):
+    """A source with a third of all edges, and a target with another third."""
+    edges = [("hub", f"n{k}", 1 + k % 3) for k in range(600)] + [(f"n{k}", "sink", 1) for k in range(600)]
+    edges += [(f"n{k}", f"n{(k * 7) % 600}", 2) for k in range(600)]
+    df = spark.createDataFrame(edges, "src string, dst string, weight long").repartition(16)
+    salted = salted_edges(df.withColumn("w", F.col("weight").cast("double")), 16)
+    sizes = [r["n"] for r in salted.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1800 and max(sizes) < 1800 * 0.2      # 113 a partition on average, the hub alone has 600
+    assert salted.filter("src <> 'hub'").agg(F.max("salts")).first()[0] == 1
+    got, want = {r["node"]: r["pagerank"] for r in pagerank(df).collect()}, _numpy_pagerank(edges)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+def test_path_that_takes_many_steps(spark):
+    edges = [(k, k + 1, 1) for k in range(60)]
+    got = {r["node"]: r["pagerank"] for r in pagerank(spark.createDataFrame(edges, "src long, dst long, weight long")).collect()}
+    want = _numpy_pagerank(edges)
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
 def test_calendar_rule_reproduces_known_dates():
     cal = dict(us_holidays(2015, 2019))
     assert len(cal) == 55
