@@ -1,8 +1,8 @@
 """Model evaluation computed in Spark (E13-E18, X14 mean, S9 queries).
 
 Curve metrics are exact over distinct scores.  Cumulative counts use a two-level
-prefix: per-score counts are bucketed, bucket totals are prefix-summed on the small
-bucket table, and the within-bucket prefix runs partitioned by ``(group, bucket)``
+prefix: per-score counts are range-partitioned by score, partition totals are prefix-summed
+(one row per group and partition), and the running counts inside a partition start there
 -- so no single task ever sorts a whole fold's scores.
 """
 
@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventfeat.functions.numeric import focal_loss
-
-SCORE_BUCKETS = 256
+from eventfeat.sources.io import scratch_path
 
 
 def _grp(by) -> list[str]:
@@ -63,43 +62,28 @@ def _threshold_metrics(c: DataFrame) -> DataFrame:
     })
 
 
-def _with_score_bucket(per: DataFrame, s: str, out: str, buckets: int, source: DataFrame | None = None,
-                       source_col: str | None = None) -> DataFrame:
-    """Order-preserving bucket of a score.  Boundaries are approximate quantiles of
-    the distinct scores (one sketch pass), applied with ``Bucketizer`` (binary
-    search in the JVM), so buckets hold similar numbers of distinct scores however
-    the scores cluster; the prefix sums built on them stay exact."""
-    from pyspark.ml.feature import Bucketizer
-
-    src, col = (source, source_col) if source is not None else (per, s)
-    qs = src.approxQuantile(col, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
-    inner = sorted(set(float(q) for q in qs if q is not None))
-    splits = [float("-inf"), *inner, float("inf")]
-    if len(splits) < 3:
-        return per.withColumn(out, F.lit(0).cast("long"))
-    b = Bucketizer(splits=splits, inputCol=s, outputCol=out, handleInvalid="keep")
-    return b.transform(per).withColumn(out, F.col(out).cast("long"))
-
-
-def _curve(df: DataFrame, y: str, score: str, by=None, buckets: int = SCORE_BUCKETS) -> DataFrame:
+def _curve(df: DataFrame, y: str, score: str, by=None) -> DataFrame:
     """Per distinct score (desc): cumulative tp/fp including and excluding it,
-    plus group totals P, N."""
+    plus group totals P, N.  The scored rows are read once: their counts per score are
+    range-partitioned and written to the shared scratch folder, because both uses must see
+    one partitioning and range bounds are sampled anew whenever a plan runs again."""
     g = _grp(by)
-    yy = F.col(y).cast("double")
-    per = df.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
-        F.count_if(yy == 1).alias("_p"), F.count_if(yy != 1).alias("_n"))
-    # boundaries from the raw score column: one sketch pass, no extra aggregation
-    per = _with_score_bucket(per, "_s", "_bk", buckets, source=df.select(F.col(score).cast("double").alias("_q")),
-                             source_col="_q")
+    yy, s = F.col(y).cast("double"), F.col(score).cast("double")
+    per = df.groupBy(*g, s.alias("_s")).agg(F.count_if(yy == 1).alias("_p"), F.count_if(yy != 1).alias("_n"))
+    odd = F.when(F.isnan("_s"), 2).when(F.col("_s").isNull(), 1).otherwise(0)
+    order = [F.col("_odd").desc(), F.col("_s").desc()]
+    per = (per.withColumn("_odd", odd).repartitionByRange(*[F.col(c) for c in g], *order)
+           .withColumn("_bk", F.spark_partition_id()))
+    path = scratch_path(df.sparkSession, "curve")
+    per.write.parquet(path)
+    per = df.sparkSession.read.schema(per.schema).parquet(path)
     bt = per.groupBy(*g, "_bk").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
-    wb = Window.partitionBy(*g).orderBy(F.col("_bk").desc()) if g else Window.partitionBy(F.lit(1)).orderBy(F.col("_bk").desc())
     wall = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))
-    bt = bt.select(*g, "_bk",
-                   (F.sum("_bp").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bp")).alias("_op"),
-                   (F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bn")).alias("_on"),
+    wb = wall.orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
+    bt = bt.select(*g, "_bk", (F.sum("_bp").over(wb) - F.col("_bp")).alias("_op"), (F.sum("_bn").over(wb) - F.col("_bn")).alias("_on"),
                    F.sum("_bp").over(wall).alias("P"), F.sum("_bn").over(wall).alias("N"))
     per = _same_group(per, bt, [*g, "_bk"])
-    wi = Window.partitionBy(*g, "_bk").orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    wi = Window.partitionBy(*g, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return per.select(*g, "_s", "P", "N",
                       (F.col("_op") + F.sum("_p").over(wi)).alias("tp"),
                       (F.col("_on") + F.sum("_n").over(wi)).alias("fp"),
@@ -126,7 +110,7 @@ def curve_areas(df: DataFrame, y: str, score: str, by=None) -> DataFrame:
 def classification_metrics(df: DataFrame, y: str, pred: str, score: str, by=None) -> DataFrame:
     """Recall, precision, F1 (class 1 and weighted), F2, accuracy,
     confusion counts, ROC-AUC, PR-AUC and average precision per group (a NULL group is a
-    group).  NULL and NaN scores rank highest."""
+    group).  NaN scores rank highest, then NULL."""
     g = _grp(by)
     if not g:
         return classification_metrics(df.withColumn("_all", F.lit(1)), y, pred, score, "_all").drop("_all")
@@ -134,18 +118,41 @@ def classification_metrics(df: DataFrame, y: str, pred: str, score: str, by=None
     return _same_group(m, curve_areas(df, y, score, by), g)
 
 
+def _passed(p: Column, cuts: Sequence[float], inclusive: bool) -> Column:
+    """How many of the ascending ``cuts`` a score reaches, by binary search."""
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        reach = (p >= F.lit(cuts[mid])) if inclusive else (p > F.lit(cuts[mid]))
+        return F.when(reach, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(cuts))
+
+
 def threshold_sweep(df: DataFrame, y: str, p: str, thresholds: Sequence[float], by=None, beta: float = 2.0,
                     inclusive: bool = True) -> DataFrame:
-    """precision/recall/F1/F2 at every threshold in one pass (thresholds are
-    exploded per row, then one grouped aggregate); ``is_best`` marks the max
-    F-beta, the earliest listed threshold winning ties."""
+    """precision/recall/F1/F2 at every threshold in one pass: each row is counted
+    once, under the number of thresholds that its score reaches, and suffix sums over these
+    counts (one more than thresholds per group) give all thresholds.  ``is_best`` marks
+    the max F-beta, the earliest listed threshold winning ties.  NULL scores count nowhere."""
     g = _grp(by)
-    th = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(t)).alias("t")) for i, t in enumerate(thresholds)]))
-    x = df.select(*g, F.col(y).cast("double").alias("_y"), F.col(p).cast("double").alias("_p"), th.alias("_th"))
-    hit = (F.col("_p") >= F.col("_th.t")) if inclusive else (F.col("_p") > F.col("_th.t"))
-    c = x.groupBy(*g, F.col("_th.i").alias("_i"), F.col("_th.t").alias("threshold")).agg(
-        F.count_if(hit & (F.col("_y") == 1)).alias("tp"), F.count_if(hit & (F.col("_y") != 1)).alias("fp"),
-        F.count_if(~hit & (F.col("_y") == 1)).alias("fn"))
+    cuts = sorted(float(t) for t in thresholds)
+    x = df.select(*g, F.col(y).cast("double").alias("_y"), F.col(p).cast("double").alias("_p"))
+    x = x.withColumn("_b", F.when(F.col("_p").isNotNull(), _passed(F.col("_p"), cuts, inclusive)))
+    x = x.groupBy(*g, "_b").agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg"))
+    cells = F.collect_list(F.when(F.col("_b").isNotNull(), F.struct("_b", "pos", "neg"))).alias("_c")
+    per = x.groupBy(*g).agg(cells) if g else x.agg(cells)
+
+    def total(name: str, k: int, above: bool) -> Column:
+        cells = F.filter("_c", lambda c: (c["_b"] > k) if above else (c["_b"] <= k))
+        return F.aggregate(cells, F.lit(0).cast("long"), lambda a, c: a + c[name])
+
+    rows = F.array(*[F.struct(
+        F.lit(i).alias("_i"), F.lit(float(t)).alias("threshold"), total("pos", cuts.index(float(t)), True).alias("tp"),
+        total("neg", cuts.index(float(t)), True).alias("fp"), total("pos", cuts.index(float(t)), False).alias("fn"))
+        for i, t in enumerate(thresholds)])
+    c = per.select(*g, F.inline(rows))
     pr, rc = _ratio(F.col("tp"), F.col("tp") + F.col("fp")), _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     c = c.withColumns({"precision": pr, "recall": rc, "f1": _fbeta(pr, rc, 1.0), "f2": _fbeta(pr, rc, beta)})
     w = Window.partitionBy(*g).orderBy(F.col("f2").desc(), F.col("_i")) if g else \
@@ -170,29 +177,34 @@ def best_step(metrics: DataFrame, fold: str = "fold", step: str = "step", value:
               patience: int = 2, min_delta: float = 1e-4) -> DataFrame:
     """Early-stopping replay per fold: a step counts as better only if it
     beats the best so far by more than ``min_delta``; stop after ``patience``
-    non-improving steps.  Steps per fold are few (epochs), so each fold's ordered
-    list is folded with ``aggregate``.  Output: fold, best_step, best_value,
-    stop_step, steps_seen."""
-    seq = F.array_sort(F.collect_list(F.struct(F.col(step).alias("s"), F.col(value).cast("double").alias("v"))))
-    init = F.struct(F.lit(None).cast("double").alias("best"), F.lit(None).cast(metrics.schema[step].dataType).alias("bs"),
-                    F.lit(0).alias("wait"), F.lit(False).alias("done"),
-                    F.lit(None).cast(metrics.schema[step].dataType).alias("last"), F.lit(0).alias("seen"))
-
+    non-improving steps.  Output: fold, best_step, best_value, stop_step, steps_seen.
+
+    A better step is always a new strict maximum (what is not better is at most
+    ``min_delta`` above the best), so a running-maximum window leaves the records, and of
+    these the first island: a gap of more than ``patience`` steps between records ends the
+    replay in any case.  Only these records are folded, not the fold's steps."""
+    w = Window.partitionBy(fold).orderBy("_s", "_v")
+    d = metrics.select(fold, F.col(step).alias("_s"), F.col(value).cast("double").alias("_v"))
+    d = d.select("*", F.row_number().over(w).alias("_n"), F.lead("_s", patience).over(w).alias("_stop"),
+                 F.max("_v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_top"))
+    ends = d.groupBy(fold).agg(F.max("_n").alias("_rows"), F.max_by("_s", "_n").alias("_last"))
+    rec = d.filter(F.col("_top").isNull() | (F.col("_v") > F.col("_top")))
+    wr = Window.partitionBy(fold).orderBy("_n")
+    rec = rec.withColumn("_gap", (F.col("_n") - F.lag("_n").over(wr) > patience).cast("int"))
+    gaps = F.coalesce(F.sum("_gap").over(wr.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    rec = rec.withColumn("_island", gaps).filter("_island = 0")
     def upd(acc, x):
-        better = acc["best"].isNull() | (x["v"] > acc["best"] + F.lit(min_delta))
-        active = ~acc["done"]
-        wait2 = F.when(better, F.lit(0)).otherwise(acc["wait"] + 1)
-        return F.when(active, F.struct(
-            F.when(better, x["v"]).otherwise(acc["best"]).alias("best"),
-            F.when(better, x["s"]).otherwise(acc["bs"]).alias("bs"),
-            wait2.alias("wait"),
-            (wait2 >= patience).alias("done"),
-            x["s"].alias("last"),
-            (acc["seen"] + 1).alias("seen"))).otherwise(acc)
-
-    r = metrics.groupBy(fold).agg(F.aggregate(seq, init, upd).alias("_r"))
-    return r.select(fold, F.col("_r.bs").alias("best_step"), F.col("_r.best").alias("best_value"),
-                    F.col("_r.last").alias("stop_step"), F.col("_r.seen").alias("steps_seen"))
+        better = acc.isNull() | acc["_v"].isNull() | (x["_v"] > acc["_v"] + F.lit(min_delta))
+        return F.when(F.coalesce(acc["_n"] + patience < x["_n"], F.lit(False)) | ~better, acc).otherwise(x)
+
+    cells = F.array_sort(F.collect_list(F.struct("_n", "_s", "_v", "_stop")))
+    kind = rec.select(F.struct("_n", "_s", "_v", "_stop").alias("x")).schema["x"].dataType
+    best = rec.groupBy(fold).agg(F.aggregate(cells, F.lit(None).cast(kind), upd).alias("_r"))
+    out = _same_group(best, ends, [fold])
+    stopped = F.col("_r._n") + patience <= F.col("_rows")
+    return out.select(fold, F.col("_r._s").alias("best_step"), F.col("_r._v").alias("best_value"),
+                      F.when(stopped, F.col("_r._stop")).otherwise(F.col("_last")).alias("stop_step"),
+                      F.when(stopped, F.col("_r._n") + patience).otherwise(F.col("_rows")).cast("int").alias("steps_seen"))
 
 
 def fold_summary(metrics_wide: DataFrame, fold: str, select_by: str, cols: Sequence[str], step: str = "step") -> DataFrame:

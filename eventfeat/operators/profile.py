@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventfeat.functions.numeric import balance_alpha, signed_log
+from eventfeat.sources.io import scratch_path
 
 
 def time_span(df: DataFrame, ts: str) -> DataFrame:
@@ -55,40 +56,61 @@ def leakage_audit(df: DataFrame, hours_col: str, threshold_h: float, guarded: Se
     return df.agg(*aggs)
 
 
-MEDIAN_BINS = 4096     # counts that one pass brings to the driver
-MEDIAN_LAST = 100_000  # values that may be sorted at the end
-
-
-def _exact_median(df: DataFrame, col: str) -> float | None:
-    """Lower median by narrowing: count the values in equal bins, go on inside the bin that
-    holds the middle one, sort only when few values are left."""
-    x = df.select(F.col(col).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    n, lo, hi = x.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    if not n:
-        return None
-    k = (n + 1) // 2  # place of the median, from 1
-    while lo < hi and n > MEDIAN_LAST:
-        width = hi / MEDIAN_BINS - lo / MEDIAN_BINS
-        if not 0 < width < float("inf"):
-            break
-        bins = x.filter(F.col("v").between(lo, hi)).groupBy(
-            F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(MEDIAN_BINS - 1)).alias("b")).agg(
-            F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect()
-        for r in bins:
-            if k <= r["n"]:
-                break
-            k -= r["n"]
-        n, lo, hi = r["n"], r["lo"], r["hi"]
-    if lo == hi:
-        return float(lo)
-    return float(x.filter(F.col("v").between(lo, hi)).orderBy("v").offset(k - 1).limit(1).first()["v"])
+SKETCH_ACCURACY = 10_000  # a percentile sketch errs by at most 1/10,000 of its rows
+
+
+def _exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    """Lower medians of many columns together, NULL and NaN left out.
+
+    The columns are written once, so the plan above runs a single time.  A round is two
+    aggregates for all columns: percentile sketches around each median's rank, then exact
+    counts below and at the percentiles.  Each round leaves an open interval with about a
+    thousandth of the values, wherever they lie (ranks, not distances: infinities and
+    outliers change nothing), until the median itself is one of the percentiles."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "medians")
+    x = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    x.write.parquet(path)
+    x = spark.read.schema(x.schema).parquet(path)
+    n = x.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
+    out: dict[str, float | None] = {c: None for c in cols}
+    # per column: rank among the values inside (lo, hi), their number, the open bounds
+    todo = {i: ((n[f"c{i}"] + 1) // 2, n[f"c{i}"], None, None) for i in range(len(cols)) if n[f"c{i}"]}
+    while todo:
+        inside, want = {}, []
+        for i, (k, m, lo, hi) in todo.items():
+            v, ok = F.col(f"c{i}"), F.lit(True)
+            ok = ok if lo is None else ok & (v > F.lit(lo))
+            inside[i] = F.when(ok if hi is None else ok & (v < F.lit(hi)), v)
+            at = [min(1.0, max(0.0, (k - 0.5) / m + d)) for d in (-2 / SKETCH_ACCURACY, 0, 2 / SKETCH_ACCURACY)]
+            want.append(F.percentile_approx(inside[i], at, SKETCH_ACCURACY).alias(f"c{i}"))
+        got = x.agg(*want).first()
+        cuts = {i: sorted(set(got[f"c{i}"])) for i in todo}
+        counts = x.agg(*[f(inside[i], c).alias(f"{name}{i}_{j}") for i in todo for j, c in enumerate(cuts[i])
+                         for name, f in (("lt", lambda v, c: F.count_if(v < F.lit(c))), ("eq", lambda v, c: F.count_if(v == F.lit(c))))]).first()
+        left = {}
+        for i, (k, m, lo, hi) in todo.items():
+            below, start = 0, lo
+            for j, c in enumerate(cuts[i]):
+                lt, eq = counts[f"lt{i}_{j}"], counts[f"eq{i}_{j}"]
+                if k <= lt:
+                    left[i] = (k - below, lt - below, start, c)
+                    break
+                if k <= lt + eq:
+                    out[cols[i]] = float(c)
+                    break
+                below, start = lt + eq, c
+            else:
+                left[i] = (k - below, m - below, start, hi)
+        todo = left
+    return out
 
 
 def fit_median(df: DataFrame, col: str, exact: bool = True, rel_error: float = 0.01) -> float | None:
     """Median of ``col``, NULL and NaN left out.  ``exact`` gives the lower median (an
     element of the data) at any size; otherwise ``approxQuantile`` with ``rel_error``."""
     if exact:
-        return _exact_median(df, col)
+        return _exact_medians(df, [col])[col]
     v = df.approxQuantile(col, [0.5], rel_error)
     return float(v[0]) if v else None
 
@@ -177,7 +199,7 @@ def fit_null_policy(train: DataFrame, zero: Sequence[str] = (), median: Sequence
     med = [c for c in median if c in have]
     if med:
         if exact_median:
-            vals.update({c: _exact_median(train, c) for c in med})
+            vals.update(_exact_medians(train, med))
         else:
             qs = train.approxQuantile(med, [0.5], 0.01)
             vals.update({c: (q[0] if q else None) for c, q in zip(med, qs)})
