@@ -1,10 +1,8 @@
 """Per-entity sequence features.
 
-``lag_features`` is the workhorse: the previous event of the same entity.  With
-``bucket_s`` a hot entity is split into time buckets; the last event of the nearest
-earlier non-empty bucket is carried into each bucket from a per-bucket summary
-(one row per entity-bucket), so no task ever holds a whole entity.  NULL entities
-never borrow a lag from unrelated rows.
+``lag_features`` is the workhorse: the previous event of the same entity.  Entities are
+split into time buckets, and only the first and last row of each bucket meet, so no task
+ever holds a whole entity.  NULL entities never borrow a lag from unrelated rows.
 """
 
 from __future__ import annotations
@@ -35,47 +33,54 @@ def top1(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], des
     return df.groupBy(*by).agg(pick.alias("_top")).select("_top.*")
 
 
-def lag_features(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], cols: Sequence[str],
-                 prefix: str = "prev_", bucket_s: float | None = None) -> DataFrame:
-    """Previous row's ``cols`` per entity (ordered by ``order``; give a unique
-    tie-break as the last order column).  Output: ``prefix + col`` for each col.
+#: width of the time buckets of an entity where the caller names none
+BUCKET_S = 30 * 86400
+
 
-    NULL entities get no lag.  With ``bucket_s``, rows whose first order value is
-    NULL form their own bucket per entity (lagged among themselves only), whereas
-    the unbucketed window sorts them first within the entity."""
+def lag_features(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], cols: Sequence[str],
+                 prefix: str = "prev_", bucket_s: float | str | None = "auto") -> DataFrame:
+    """Previous row's ``cols`` per entity (ordered by ``order``, NULL first; give a
+    unique tie-break as the last order column).  Output: ``prefix + col`` for each col.
+
+    Rows are dealt by entity and bucket of ``bucket_s`` seconds of the first order column
+    (``"auto"``: 30 days of a date or timestamp, one bucket for other types; ``None``: one
+    bucket), so an entity with a third of all rows spreads over its buckets.  Only the first
+    and last row of each bucket meet per entity, where a bucket's first row finds the last
+    row of the nearest earlier one.  Both steps read the same exchange: the input runs once.
+    The result does not depend on ``bucket_s``.  NULL entities get no lag."""
     by, order = _list(by), _list(order)
     cols = list(cols)
     key_ok = F.lit(True)
     for c in by:
         key_ok = key_ok & F.col(c).isNotNull()
+    if bucket_s == "auto":
+        bucket_s = BUCKET_S if df.schema[order[0]].dataType.typeName() in ("date", "timestamp", "timestamp_ntz") else None
     rec = F.struct(*[F.col(c).alias(c) for c in cols])
     # NULL entities stay in the same pass (no second scan of df) but are spread over
     # many partitions and never receive a lag
     spread = F.when(~key_ok, F.pmod(_row_hash(df, df.columns), F.lit(1024))).otherwise(F.lit(-1))
     base = df.withColumn("_ok", key_ok).withColumn("_sp", spread.cast("long"))
-
     if bucket_s is None:
         w = Window.partitionBy(*by, "_sp").orderBy(*order)
         out = base.withColumn("_prev", F.lag(rec, 1).over(w))
     else:
         b = F.floor(epoch_seconds(F.col(order[0])) / float(bucket_s)).cast("long")
-        kb = base.withColumn("_b", F.when(F.col("_ok"), b).otherwise(F.col("_sp")))
-        summary = (kb.filter(F.col("_ok")).groupBy(*by, "_b")
-                   .agg(F.max_by(rec, F.struct(*[F.col(c) for c in order])).alias("_last")))
-        carry = (summary.withColumn("_carry", F.lag("_last", 1).over(Window.partitionBy(*by).orderBy("_b")))
-                 .filter(F.col("_carry").isNotNull()).select(*by, "_b", "_carry"))
-        w = Window.partitionBy(*by, "_b").orderBy(*order)
-        out = (kb.withColumn("_prev", F.lag(rec, 1).over(w))
-               .join(carry, on=[*by, "_b"], how="left")
-               .withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_carry")))
-               .drop("_carry", "_b"))
+        w = Window.partitionBy(*by, "_sp", "_b").orderBy(*order)
+        kb = base.withColumn("_b", b).withColumns({
+            "_prev": F.lag(rec, 1).over(w), "_first": F.lag(F.lit(True), 1).over(w).isNull(), "_last": F.lead(F.lit(True), 1).over(w).isNull()})
+        # a bucket's first row stands before its last one, which the next bucket looks back
+        # at.  Both uses of the exchange must need the same columns and push nothing below
+        # it (a condition on the entity would be), or the input would run twice
+        ends = Window.partitionBy(*by, "_sp").orderBy(F.col("_b").asc_nulls_first(), F.col("_first").desc())
+        opening = kb.filter("_first OR _last").withColumn("_prev", F.coalesce("_prev", F.lag(rec, 1).over(ends))).filter("_first")
+        out = kb.filter("NOT _first").unionByName(opening)
     prev = F.when(F.col("_ok"), F.col("_prev"))
     return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])
 
 
 def safe_lag(df: DataFrame, by, order, ts: str, value: str, known_at: str, lead_s: float = 3661,
              nonneg: bool = True, out: str | None = None, prefix: str = "prev_",
-             bucket_s: float | None = None, keep_prev: bool = False) -> DataFrame:
+             bucket_s: float | str | None = "auto", keep_prev: bool = False) -> DataFrame:
     """W3 (+W4): leakage-safe lag.
 
     ``prev_value`` is kept only if the previous event was *known* (``known_at``, e.g.
@@ -106,7 +111,7 @@ def safe_lag(df: DataFrame, by, order, ts: str, value: str, known_at: str, lead_
 
 
 def gap_since_prev(df: DataFrame, by, order, ts: str, unit_s: float = 60.0, out: str = "gap_since_prev",
-                   bucket_s: float | None = None) -> DataFrame:
+                   bucket_s: float | str | None = "auto") -> DataFrame:
     """Time since the previous event of the entity, in units of ``unit_s``."""
     order = _list(order)
     lagged = lag_features(df, by, order, [ts], prefix="_gp_", bucket_s=bucket_s)
@@ -119,33 +124,60 @@ def ratio_split(df: DataFrame, ts: str, ratios: Sequence[float], names: Sequence
     """Chronological split by row rank: the first ``int(N*r1)`` rows (by ``ts``,
     then ``tiebreak``) are ``names[0]``, the next ``int(N*r2)`` ``names[1]``, ...
 
-    The global rank is computed without a single-partition window: rows are range
-    partitioned on ``(ts, tiebreak)`` (sampled bounds, so even one hot timestamp is
-    split when the tie-break is unique), sorted inside each partition, numbered
-    there, and shifted by the prefix sum of the per-partition counts (a table with
-    one row per partition).  The numbered rows are written to the shared scratch folder
-    first: both uses must see one and the same partitioning, and range bounds are
-    sampled anew whenever a plan runs again."""
+    Only the keys ``(ts, tiebreak)`` are ordered: range-partitioned (sampled bounds, so even
+    one hot timestamp is split when the tie-break is unique), sorted and written to the
+    shared scratch folder with their place, because range bounds are sampled anew whenever a
+    plan runs again.  The keys at the cuts follow from the partition counts, and the rows are
+    then split by one comparison, without moving them.  The keys are ordered when this
+    function is called.  Where a cut falls between rows of equal keys, which no comparison
+    can part, the rows themselves are numbered in the same way."""
     tb = _list(tiebreak) if tiebreak else []
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(ts), *[F.col(c) for c in tb]]
-    r = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    keys = [ts, *tb]
+    ranked = _ranked(df.select(*keys), keys, n)
+    counts = {r["_pid"]: r["_n"] for r in ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()}  # one row per partition
+    total, cuts = sum(counts.values()), []
+    for q in ratios:
+        cuts.append(int(total * float(q)) + (cuts[-1] if cuts else 0))
+
+    def place(rank: int) -> tuple[int, int]:
+        for pid in sorted(counts):
+            if rank <= counts[pid]:
+                return pid, rank - 1
+            rank -= counts[pid]
+        raise ValueError(rank)
+
+    def at(rank: int):
+        pid, pos = place(rank)
+        return (F.col("_pid") == pid) & (F.col("_pos") == pos)
+
+    key = F.struct(*[F.col(c) for c in keys])
+    inner = [c for c in cuts if 0 < c < total]
+    both = [F.when(at(c) | at(c + 1), F.lit(i)) for i, c in enumerate(inner)]
+    if inner and not ranked.select(F.explode(F.array(*both)).alias("cut"), key.alias("k")).filter("cut IS NOT NULL").groupBy("cut").agg(
+            F.count_distinct("k").alias("n")).filter("n = 1").isEmpty():
+        numbered = _ranked(df, keys, n)
+        counts, base = {r["_pid"]: r["_n"] for r in numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()}, 0
+        starts = {}
+        for pid in sorted(counts):
+            starts[pid], base = base, base + counts[pid]
+        starts = F.create_map(*[F.lit(x) for p, b in starts.items() for x in (p, b)])
+        rank = starts[F.col("_pid")] + F.col("_pos") + 1
+        df, conds = numbered, [rank <= c for c in cuts]
+    else:
+        conds = [F.lit(c >= total) if not 0 < c < total else key <= ranked.filter(at(c)).select(key.alias("k")).scalar() for c in cuts]
+    e = None
+    for name, cond in zip(names, conds):
+        e = F.when(cond, name) if e is None else e.when(cond, name)
+    e = e.otherwise(names[len(ratios)] if len(names) > len(ratios) else None)
+    return df.withColumn(out, e).drop("_pid", "_pos")
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """``df`` in global order of ``keys``, written once, with partition and place inside."""
+    r = df.repartitionByRange(n, *[F.col(c) for c in keys]).sortWithinPartitions(*keys).withColumns({
+        "_pid": F.spark_partition_id(),
+        "_pos": F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)})
     path = scratch_path(df.sparkSession, "ranked")
     r.write.parquet(path)
-    r = df.sparkSession.read.schema(r.schema).parquet(path)
-    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
-                           F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"))
-    # one row per partition: bounded by construction, so broadcast without a check
-    r = r.join(F.broadcast(counts), on="_pid", how="inner")
-    rank = F.col("_off") + F.col("_pos") + 1
-    e, acc = None, None
-    for i, q in enumerate(ratios):
-        c = F.floor(F.col("_total") * F.lit(float(q))).cast("long")
-        acc = c if acc is None else acc + c
-        e = F.when(rank <= acc, names[i]) if e is None else e.when(rank <= acc, names[i])
-    e = e.otherwise(names[len(ratios)] if len(names) > len(ratios) else None)
-    return r.withColumn(out, e).select(*df.columns, out)
+    return df.sparkSession.read.schema(r.schema).parquet(path)
