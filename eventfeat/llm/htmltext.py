@@ -86,7 +86,8 @@ class Forest:
         self.index = index
         self.parent, self.depth, self.group = np.array(parent, int), np.array(depth, int), np.array(group, int)
         self.node, self.feat, self.label = np.array(node, int), np.array(feat, int), np.array(label, int)
-        self.levels = [np.flatnonzero(self.depth == d) for d in range(int(self.depth.max(initial=0)) + 1)]
+        by_depth = np.argsort(self.depth, kind="stable")
+        self.levels = np.split(by_depth, np.cumsum(np.bincount(self.depth))[:-1]) if len(parent) else [by_depth]
 
     def messages(self, w, pairs):
         """Sum-product: (marginals, pair marginals of each node with its parent)."""
@@ -128,7 +129,7 @@ def train(pages: int = TRAIN_PAGES, steps: int = STEPS, seed: int = 7, decay: fl
     import numpy as np
 
     rng = random.Random(seed)
-    trees = [parse(labelled_page(rng)) for _ in range(pages)]
+    trees = [parse(labelled_page(rng), labelled=True) for _ in range(pages)]
     f = Forest(trees, grow=True)
     y = np.concatenate([truth(t) for t in trees])
     inner = np.flatnonzero(f.parent >= 0)

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -29,6 +31,8 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SCOPES = frozenset("ul ol dl table body html article section main div td aside nav footer header".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]+|=\s*(?:"[^"]*"|'[^']*')|=)*+)>|[^<]+|<""", re.S)
+_TAG_START, _SIGN = re.compile(r"</?[a-zA-Z][^\s/>]*"), re.compile(r"(<)()()")
+_QUOTED = re.compile(r"""\s*(?:"[^"]*"|'[^']*')""")
 _RAW_END = {n: re.compile(rf"</{n}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for n in RAW}
 _SKIPPED_TAG = re.compile(rf"<(/?)({'|'.join(SKIPPED)})(?=[\s/>])", re.I | re.A)
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -60,13 +64,13 @@ class Tree:
         return len(self.tag) - 1
 
 
-def _attributes(raw: str) -> tuple[tuple[str, ...], int]:
+def _attributes(raw: str, labelled: bool) -> tuple[tuple[str, ...], int]:
     names, label = [], -1
     for m in _ATTR.finditer(raw):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
             names += [x.lower() for x in _NAME_PARTS.findall(value)]
-        elif key == "data-y":
+        elif labelled and key == "data-y":
             label = int(value)
     return tuple(dict.fromkeys(names)), label
 
@@ -85,8 +89,31 @@ def _skipped_ends(html: str) -> dict[int, int]:
     return ends
 
 
-def parse(html: str | None) -> Tree:
-    """Tree of a page; null and empty pages are a lone root."""
+class _TagEnds:
+    """Ends of tags in a page where some ``<`` opens no tag.  A scan that found no end has
+    seen signs outside of quotes from which none follows; any later scan that comes to one
+    of them stops there, so all scans together are linear in the page."""
+
+    def __init__(self, html: str):
+        self.html, self.dead = html, set()
+        self.signs = [m.start() for m in re.finditer("[>=]", html)]
+
+    def __call__(self, at: int) -> bool:
+        """Whether a tag whose name begins at ``at`` has an end."""
+        seen = []
+        while (k := bisect_left(self.signs, at)) < len(self.signs) and (sign := self.signs[k]) not in self.dead:
+            if self.html[sign] == ">":
+                return True
+            seen.append(sign)
+            quoted = _QUOTED.match(self.html, sign + 1)
+            at = quoted.end() if quoted else sign + 1
+        self.dead.update(seen)
+        return False
+
+
+def parse(html: str | None, labelled: bool = False) -> Tree:
+    """Tree of a page; null and empty pages are a lone root.  ``labelled`` reads the
+    ``data-y`` labels of training pages."""
     t = Tree()
     t.add(-1, "root")
     stack = [(0, "root")]          # open blocks
@@ -95,6 +122,8 @@ def parse(html: str | None) -> Tree:
     html, pos = html or "", 0
     ends, skip_to, inner = None, 0, []  # blocks open inside the skipped element
     endless = set()
+    has_end = None                 # from the first tag without an end on
+    opened: Counter = Counter()    # names on the stack
 
     def flush():
         nonlocal linked
@@ -109,11 +138,14 @@ def parse(html: str | None) -> Tree:
         flush()
         if len(stack) > n:
             in_link = False
+        opened.subtract(x for _, x in stack[n:])
         del stack[n:]
 
     while pos < len(html):
-        m = _TOKEN.match(html, pos)
+        m = (_TOKEN if has_end is None or not (tag := _TAG_START.match(html, pos)) or has_end(tag.end()) else _SIGN).match(html, pos)
         start, pos = pos, m.end()
+        if m[0] == "<" and has_end is None and _TAG_START.match(html, start):
+            has_end = _TagEnds(html)
         token, name = m[0], (m[2] or "").lower()
         if name in RAW:
             if not m[1] and not m[3].endswith("/"):
@@ -131,7 +163,7 @@ def parse(html: str | None) -> Tree:
                 elif name in inner:
                     while inner.pop() != name:
                         pass
-                elif any(n == name for _, n in stack):
+                elif opened[name]:
                     skip_to = 0  # its parent ends
             if skip_to:
                 continue
@@ -152,7 +184,7 @@ def parse(html: str | None) -> Tree:
             in_link = not m[1]
         elif name in BLOCKS:
             if m[1]:
-                for n in range(len(stack) - 1, 0, -1):
+                for n in range(len(stack) - 1, 0, -1) if opened[name] else ():
                     if stack[n][1] == name:
                         pop_to(n)
                         break
@@ -160,17 +192,18 @@ def parse(html: str | None) -> Tree:
                         break
                 label = t.label[stack[-1][0]]
                 continue
-            for n in range(len(stack) - 1, 0, -1):
+            for n in range(len(stack) - 1, 0, -1) if opened["p"] or any(opened[x] for x in ENDS.get(name, ())) else ():
                 if stack[n][1] == "p" or stack[n][1] in ENDS.get(name, ()):
                     pop_to(n)
                     break
                 if stack[n][1] in SCOPES:
                     break
             flush()
-            names, own = _attributes(m[3]) if m[3] else ((), -1)
+            names, own = _attributes(m[3], labelled) if m[3] else ((), -1)
             node = t.add(stack[-1][0], name, names, label=own if own >= 0 else t.label[stack[-1][0]])
             if name not in VOID and not m[3].endswith("/"):
                 stack.append((node, name))
+                opened[name] += 1
             label = t.label[stack[-1][0]]
     flush()
     for n in range(len(t.tag) - 1, 0, -1):  # children come after their parent

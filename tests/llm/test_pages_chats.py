@@ -4,6 +4,7 @@ import html as H
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -38,7 +39,7 @@ def test_messages_equal_enumeration():
 
 def test_held_out_accuracy(model):
     rng = random.Random(1234)
-    trees = [htmltree.parse(htmltree.labelled_page(rng)) for _ in range(200)]
+    trees = [htmltree.parse(htmltree.labelled_page(rng), labelled=True) for _ in range(200)]
     right = wrong = 0
     for t, got in zip(trees, htmltext.extract(trees, model)):
         a = [x for x, tag, y in zip(t.text, t.tag, t.label) if tag == "#" and y == 1]
@@ -102,6 +103,46 @@ def test_script_before_an_article(spark, model):
     assert got.text == "The article, as it stands."
 
 
+def test_labels_of_real_pages_are_attributes_like_others(spark, model):
+    odd = ["a", "12.5", "", None, "1", "99999999999999999999"]
+    rows = [(k, "u", f"<article data-y{'' if v is None else '=' + repr(v)}><p>The article, as it stands.</p></article>") for k, v in enumerate(odd)]
+    got = htmltext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"), model=model).collect()
+    assert {r.text for r in got} == {"The article, as it stands."}
+
+
+def test_mutated_pages_parse(model):
+    """No page crashes, and every leaf's text comes from the page."""
+    rng = random.Random(12)
+    bits = ["<a ", '="', "='", ">", '"', "'", "<", "</", "<!--", "-->", "&#", "&amp;", "<p>", "</div>", "<script>", "</select>", "<li>", 'data-y="x"', "\x00", "<td =>"]
+    trees = []
+    for _ in range(2000):
+        page = htmltree.labelled_page(rng)
+        for _ in range(rng.randint(1, 8)):
+            k = rng.randrange(len(page))
+            page = page[:k] + rng.choice(bits) + page[k + rng.randint(0, 4):]
+        trees.append(htmltree.parse(page))
+        assert all(p < k for k, p in enumerate(trees[-1].parent))
+    assert len(htmltext.extract(trees[:200], model)) == 200
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a =", '<a ="', "<a =\"<b ='", "<", "<div>", "<address>", "<textarea>", "<select><div></p>", "<ul><li>", "</li>", "<!--"])
+def test_hostile_pages_take_linear_time(piece):
+    import time
+
+    def seconds(n):
+        page, began = piece * (n // len(piece)) + '=">"' + "</li>" * 2000, time.process_time()
+        htmltree.parse(page)
+        return time.process_time() - began
+
+    seconds(50_000)
+    assert seconds(800_000) < 40 * max(seconds(50_000), 0.05)  # 16 times the page
+
+
+def test_very_deep_pages_extract(model):
+    tree = htmltree.parse("<div>" * 20_000 + "<p>Deep words, and more of them.")
+    assert len(htmltext.extract([tree], model)) == 1
+
+
 def test_awkward_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<p>Fish &amp; chips &lt;b&gt; caf&eacute; &#8364;5 are\n\t good   food, and cheap."),
             (5, "u", "<article><p>One<p>Two <b>bold</b>er<br>line</article></div></nav><script>if (a</b) x('</p>')</script>"), (None, "u", "<!-- <p>no</p> --><nav><a href=x>m</a></nav>"),
@@ -136,6 +177,44 @@ def test_listed_rules(spark):
     assert got == sorted(((n, *judged(u)[:3], judged(u)[3] or "allow") for n, u in enumerate(URLS)), key=repr)
 
 
+def plain_rules(rows, min_support, min_confidence, min_rows, max_size=3):
+    """Every token set of a few tokens, counted."""
+    from itertools import combinations
+    total, bad = Counter(), Counter()
+    for tokens, is_bad in rows:
+        for size in range(1, max_size + 1):
+            for c in combinations(sorted(tokens), size):
+                total[c] += 1
+                bad[c] += is_bad
+    good = {c for c, n in bad.items() if n >= max(min_rows, min_support * len(rows)) and n / total[c] >= min_confidence}
+    return {(c, bad[c], bad[c] / total[c]) for c in good if not any(set(d) < set(c) for d in good)}
+
+
+def test_rules_equal_all_combinations(spark):
+    rng = random.Random(16)
+    rows = [(sorted(rng.sample("abcdefghij", rng.randint(0, 6))), rng.random() < 0.5) for _ in range(200)]
+    rows = [(t, b or {"a", "b", "c"} <= set(t) or {"d", "e"} <= set(t)) for t, b in rows]
+    df = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    for support, confidence, least in ((0.01, 0.6, 5), (0.05, 0.8, 3), (0.002, 0.95, 2)):
+        got = urls.mine_rules(df, support, confidence, 3, least).collect()
+        assert {(tuple(r.tokens), r.support_rows, r.confidence) for r in got} == plain_rules(rows, support, confidence, least)
+        assert all(r["size"] == len(r.tokens) for r in got) and got
+
+
+def test_long_repeated_urls_are_mined_in_seconds(spark):
+    """Forty tokens in thirty equal urls, and thirty that each lack one of them."""
+    import time
+
+    words = [f"w{k}" for k in range(40)]
+    rows = [(words, True)] * 30 + [(words[:k] + words[k + 1:], True) for k in range(30)] + [(words, False)] * 50 + [(["x"], False)] * 100
+    began = time.time()
+    got = urls.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert time.time() - began < 120 and got == []
+    rows = [(words, True)] * 30 + [(["x"], False)] * 100
+    got = urls.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert sorted(r.tokens[0] for r in got) == sorted(words) and {r["size"] for r in got} == {1}
+
+
 def test_mined_rules(spark):
     """Labels that depend on token pairs give exactly these rules; support and confidence
     prune the rest."""
