@@ -2,7 +2,7 @@
 
 Listed rules ``(host, path, verdict)`` fit their host and its subdomains when the url's
 path starts with the rule's path; the longest rule wins.  Where none fits, Spark's
-FP-growth has mined token combinations of labelled urls; rules ``tokens -> bad`` above a
+pattern growth has mined token combinations of labelled urls; rules ``tokens -> bad`` above a
 support and a confidence are matched through an inverted index (token -> rule), one join
 of distinct urls' tokens with the index.  A url with a complete match is blocked, any
 other is allowed.
@@ -15,10 +15,12 @@ ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventfeat.llm.common import ascii_lower
+from eventfeat.llm.common import ascii_lower, written
 
 # The listed policy.
 POLICY = (
@@ -64,41 +66,54 @@ def url_tokens(host: Column, path: Column) -> Column:
         F.transform(parts, lambda x: F.concat(F.lit("p:"), number(x)))))
 
 
+def frequent_sets(rows: DataFrame, least: int, max_size: int) -> DataFrame:
+    """``tokens, freq`` of the token sets of at most ``max_size`` tokens in ``least`` rows
+    or more, by Spark's pattern growth.
+
+    ``FPGrowth`` has no bound on the size of a set: 30 equal urls of 20 tokens have a
+    million frequent sets.  ``PrefixSpan`` grows patterns in the same way, by projection on
+    frequent items, and stops at a length; over sorted tokens, one to an element, its
+    sequences of length k are the sets of k tokens."""
+    from pyspark.ml.fpm import PrefixSpan
+
+    n = rows.count()
+    if n < least:
+        return rows.sparkSession.createDataFrame([], "tokens array<string>, freq long")
+    # PrefixSpan rounds the least count up
+    miner = PrefixSpan(minSupport=(least - 0.5) / n, maxPatternLength=max_size, sequenceCol="items")
+    items = rows.select(F.transform(F.array_sort(F.array_distinct("tokens")), lambda t: F.array(t)).alias("items"))
+    return miner.findFrequentSequentialPatterns(items).select(F.flatten("sequence").alias("tokens"), "freq")
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, max_size: int = 3,
                min_rows: int = 20) -> DataFrame:
     """``tokens, size, support_rows, confidence`` of combinations that announce a bad
     label.  ``labelled``: ``tokens`` and boolean ``bad``.  A rule that has a shorter rule
     inside it adds nothing and is pruned."""
-    from pyspark.ml.fpm import FPGrowth
-
-    spark = labelled.sparkSession
-    items = labelled.select(F.when(F.col("bad"), F.concat(F.col("tokens"), F.array(F.lit("!bad")))).otherwise(F.col("tokens")).alias("items"))
-    empty = spark.createDataFrame([], "tokens array<string>, size int, support_rows long, confidence double")
-    n = items.count()
-    if n < max(1, min_rows):  # no rule can reach the support
-        return empty
-    sets = FPGrowth(itemsCol="items", minSupport=max(min_support * 0.5, min_rows / n), minConfidence=min_confidence).fit(
-        items).freqItemsets
-    keyed = sets.select(F.sort_array("items").alias("items"), F.col("freq").alias("freq"))
-    bad = keyed.filter(F.array_contains("items", "!bad")).select(
-        F.array_remove("items", "!bad").alias("tokens"), F.col("freq").alias("bad_rows"))
-    both = bad.filter((F.size("tokens") >= 1) & (F.size("tokens") <= max_size)).join(
-        keyed.select(F.col("items").alias("tokens"), "freq"), "tokens")
-    rules = both.select("tokens", F.size("tokens").alias("size"), F.col("bad_rows").alias("support_rows"),
-                        (F.col("bad_rows") / F.col("freq")).alias("confidence")).filter(
-        (F.col("confidence") >= min_confidence) & (F.col("support_rows") >= max(min_rows, min_support * n)))
-    # pruning: bounded by 1 / min_support and max_size, so the rule table is small
-    short = rules.select(F.explode("tokens").alias("tok"), F.col("tokens").alias("inner"), F.col("size").alias("inner_size"))
-    covered = rules.select("tokens", "size", F.explode("tokens").alias("tok")).join(short, "tok").filter(
-        "inner_size < size").groupBy("tokens", "inner", "inner_size").count().filter(
-        F.col("count") == F.col("inner_size")).select("tokens").distinct()
+    labelled = written(labelled.select("tokens", "bad"), "labelled")
+    n = labelled.count()
+    least = max(1, min_rows, math.ceil(min_support * n))
+    bad = frequent_sets(labelled.filter("bad"), least, max_size).withColumnRenamed("freq", "bad_rows")
+    # a set's rows are at least its bad rows, so the same bound holds for all rows
+    both = bad.join(frequent_sets(labelled, least, max_size), "tokens")
+    rules = written(both.select("tokens", F.size("tokens").alias("size"), F.col("bad_rows").alias("support_rows"),
+                                (F.col("bad_rows") / F.col("freq")).alias("confidence")).filter(
+        F.col("confidence") >= min_confidence), "rules")
+    # pruning: a rule's shorter subsets, a handful each, are looked up among the rules
+    inner = F.filter(F.transform(F.sequence(F.lit(1), F.lit(2 ** max_size - 2)), lambda mask: F.filter(
+        F.col("tokens"), lambda t, i: mask.bitwiseAND(F.pow(F.lit(2), i).cast("int")) > 0)),
+        lambda s: (F.size(s) >= 1) & (F.size(s) < F.col("size")))
+    covered = rules.select("tokens", F.explode(F.array_distinct(inner)).alias("inner")).join(
+        rules.select(F.col("tokens").alias("inner")), "inner").select("tokens").distinct()
     return rules.join(covered, "tokens", "left_anti")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url",
                label_id: str = "doc_id", policy=POLICY, rules: DataFrame | None = None, **mining) -> DataFrame:
     """``page_id, host, path, rule, verdict`` per input row.  ``labels`` (id, quality,
-    toxic) marks urls as bad where quality is 0 or toxic is 1."""
+    toxic) marks urls as bad where quality is 0 or toxic is 1; its ``label_id`` is compared
+    with the pages' ids (the given tables have labels by document, and page n counts as
+    document n)."""
     d = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     d = d.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     if rules is None and labels is not None:
