@@ -3,10 +3,12 @@
 Every text version is a blob addressed by its SHA-256.  The ledger holds one row per
 scanned (blob, rule, rule version) with the spans found.  A scan takes the blobs of the
 input that some current rule version has not seen yet, scans each blob once whatever the
-number of paths that hold it, and joins the findings of all rules back to all paths.
+number of paths that hold it, writes the new ledger rows to the shared folder, and joins
+the findings of known and new rows back to all paths.
 
 Spans come from two native calls per rule: ``split`` gives the text between matches and
-``regexp_extract_all`` the matches, so running lengths give code-point positions.
+``regexp_extract_all`` the matches.  The lengths are exploded, and their running sum per
+blob and rule gives the code-point positions, in linear time for any number of matches.
 
 Defined results: a null text is the empty blob and has no findings; repeated rows and
 null ids each get their own result row; an empty table gives an empty result; extra
@@ -17,9 +19,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventfeat.llm.common import written
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -50,67 +54,60 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-SALTS = 16  # keys over which the paths of one blob are spread
-
-LEDGER_SCHEMA = "blob string, kind string, version int, spans array<struct<start:int,stop:int,ord:int,kind:string>>"
+LEDGER_COLUMNS = (("blob", "string"), ("kind", "string"), ("version", "int"),
+                  ("spans", "array<struct<start:int,stop:int,ord:int,kind:string>>"))
+LEDGER_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in LEDGER_COLUMNS)
 
 
-def _spans(text: Column, rule: Rule, order: int) -> Column:
-    """Array of ``(start, stop, ord, kind)`` of the matches of one rule."""
-    empty = F.expr("CAST(array() AS array<struct<start:int,stop:int,ord:int,kind:string>>)")
+def _lengths(text: Column, rule: Rule) -> Column:
+    """Per match of one rule ``(gap, hit, size)``: code points between the match before
+    and this one, of this match, and of the group that decides."""
+    none = F.expr("CAST(array() AS array<struct<gap:int,hit:int,size:int>>)")
     gaps = F.transform(F.split(text, rule.pattern, -1), lambda g: F.length(g))
     hits = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), lambda m: F.length(m))
     sizes = (F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), lambda m: F.length(m))
              if rule.group else hits)
-    found = F.aggregate(
-        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"), sizes.alias("size")),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + x["hit"]).alias("at"),
-            F.when(x["size"] >= rule.min_len, F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["hit"]).alias("stop"),
-                F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"))))).otherwise(a["out"]).alias("out")),
-        lambda a: a["out"])
+    found = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"), sizes.alias("size"))
     has = F.contains(text, F.lit(rule.probe)) if rule.probe else text.rlike(rule.pattern)
-    return F.when(has, found).otherwise(empty)
+    return F.when(has, found).otherwise(none)
+
+
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    """The ledger before the first scan."""
+    return spark.range(0).selectExpr(*[f"CAST(NULL AS {kind}) AS {name}" for name, kind in LEDGER_COLUMNS])
 
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
          rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """Returns ``(paths, entries)``: ``paths`` has one row per input row (``doc_id``,
     ``blob``, ``found``: all spans in order of start, then rule) and ``entries`` the new
-    ledger rows to append, one per scanned (blob, rule, version)."""
+    ledger rows to append, one per scanned (blob, rule, version), written already."""
+    ledger = empty_ledger(docs.sparkSession) if ledger is None else ledger
     paths = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "blob", F.sha2("text", 256))
-    blobs = paths.select("blob", "text").dropDuplicates(["blob"])
-    known = None
-    if ledger is not None:
-        wanted = " OR ".join(f"(kind = '{r.kind}' AND version = {r.version})" for r in rules)
-        known = ledger.filter(wanted)
-        seen = known.groupBy("blob").agg(F.collect_set("kind").alias("seen"))
-        blobs = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
-        blobs = blobs.filter(F.size("seen") < len(rules))
-    per_rule = []
-    for n, r in enumerate(rules):
-        spans = _spans(F.col("text"), r, n)
-        if ledger is not None:  # a pair that the ledger holds is not scanned again
-            spans = F.when(F.array_contains("seen", r.kind), F.lit(None)).otherwise(spans)
-        per_rule.append(spans.alias(f"s{n}"))
-    scanned = blobs.select("blob", *per_rule)
-    entries = scanned.select("blob", F.explode(F.array(*[
-        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.col(f"s{n}").alias("spans"))
-        for n, r in enumerate(rules)])).alias("e")).select("blob", "e.*").filter("spans IS NOT NULL")
-    if known is None:
-        found = scanned.select("blob", F.array_sort(F.concat(*[F.col(f"s{n}") for n in range(len(rules))])).alias("found"))
-        found = found.select("blob", _ordered("found").alias("found"))
-    else:
-        found = known.select("blob", "kind", "version", "spans").unionByName(entries).groupBy("blob").agg(
-            F.flatten(F.collect_list("spans")).alias("found")).select("blob", _ordered("found").alias("found"))
-    # copies of one blob may be a third of all paths: they are spread over SALTS keys, and
-    # the few blobs with findings are repeated for each
-    found = found.filter(F.size("found") > 0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = paths.select("doc_id", "blob", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    return spread.join(found, ["blob", "salt"], "left").drop("salt"), entries
+    wanted = " OR ".join(f"(kind = '{r.kind}' AND version = {r.version})" for r in rules)
+    known = ledger.select("blob", "kind", "version", "spans").filter(wanted)
+    seen = known.groupBy("blob").agg(F.collect_set("kind").alias("seen"))
+    blobs = paths.select("blob", "text").dropDuplicates(["blob"]).join(seen, "blob", "left")
+    blobs = blobs.withColumn("seen", F.coalesce("seen", F.array().cast("array<string>"))).filter(F.size("seen") < len(rules))
+    # a pair that the ledger holds is not scanned again
+    tried = blobs.select("blob", *[F.when(~F.array_contains("seen", r.kind), _lengths(F.col("text"), r)).alias(f"m{n}") for n, r in enumerate(rules)])
+    tried = written(tried.select("blob", F.explode(F.array(*[
+        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.lit(n).alias("ord"), F.lit(r.min_len).alias("least"),
+                 F.col(f"m{n}").alias("m")) for n, r in enumerate(rules)])).alias("e")).select("blob", "e.*").filter("m IS NOT NULL"), "matches")
+    up_to = Window.partitionBy("blob", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    spots = tried.select("blob", "kind", "version", "ord", "least", F.posexplode("m").alias("at", "x"))
+    spots = spots.withColumn("stop", F.sum(F.col("x.gap") + F.col("x.hit")).over(up_to).cast("int")).filter("x.size >= least")
+    spans = spots.groupBy("blob", "kind", "version").agg(F.sort_array(F.collect_list(F.struct(
+        (F.col("stop") - F.col("x.hit")).alias("start"), "stop", "ord", "kind"))).alias("spans"))
+    pairs = tried.select("blob", "kind", "version").unionByName(spans.select("blob", "kind", "version", F.col("spans").alias("got")), allowMissingColumns=True)
+    none = F.expr("CAST(array() AS array<struct<start:int,stop:int,ord:int,kind:string>>)")
+    entries = written(pairs.groupBy("blob", "kind", "version").agg(F.coalesce(F.max("got"), none).alias("spans")), "ledger")
+    found = known.unionByName(entries).filter(F.size("spans") > 0).groupBy("blob").agg(
+        F.flatten(F.collect_list("spans")).alias("found")).select("blob", _ordered("found").alias("found"))
+    # copies of one blob may be a third of all paths: the join's larger side is split where
+    # the planner sees the skew (skew join), as the side with the findings is small
+    return paths.select("doc_id", "blob").join(found, "blob", "left"), entries
 
 
 def _ordered(c: str) -> Column:
