@@ -36,6 +36,20 @@ def train_mlp(train: DataFrame, features: str, label: str, hidden: Sequence[int]
     return mlp.fit(train.withColumn(label, F.col(label).cast("double")))
 
 
+def training_loss(model: MultilayerPerceptronClassificationModel, df: DataFrame, features: str, label: str) -> DataFrame:
+    """E11 check: one row ``rows, loss, gradient`` of a fitted two-class model on ``df``:
+    mean cross-entropy, and the largest partial derivative of the loss that the output
+    layer has in closed form (``mean((p - y) * input)``): all weights and biases of a model
+    without hidden layers, the biases of any other.  Both come from Spark expressions over
+    the scored rows; at an optimum the gradient is zero."""
+    x = score(model, df).select("prob_pos", F.col(label).cast("double").alias("_y"), vector_to_array(F.col(features)).alias("_x"))
+    p = F.greatest(F.lit(1e-300), F.when(F.col("_y") == 1, F.col("prob_pos")).otherwise(1 - F.col("prob_pos")))
+    miss = F.col("prob_pos") - F.col("_y")
+    layers = model.getLayers()
+    parts = [F.abs(F.avg(miss))] + ([F.abs(F.avg(miss * F.get("_x", F.lit(i)))) for i in range(layers[0])] if len(layers) == 2 else [])
+    return x.agg(F.count(F.lit(1)).alias("rows"), F.avg(-F.log(p)).alias("loss"), F.greatest(*parts, F.lit(0.0)).alias("gradient"))
+
+
 def score(model, df: DataFrame, prob_col: str = "prob_pos") -> DataFrame:
     """E12 (+D2): transform and expose P(class 1) as a double column, without a
     Python UDF (``vector_to_array(probability)[1]``)."""

@@ -348,8 +348,9 @@ def run_stages(spark, flights_path: str, weather_path: str, stations_path: str,
     ``train_test/split=*`` -> ``rolling_windows/fold=*/role=*`` ->
     ``processed/fold=*/role=*`` and ``processed_train_test/split=*`` (fitted on train, not
     downsampled).  ``preprocessed`` has the model's columns and ``FLIGHT_ID`` only, after
-    the leakage audit has found nothing; every stage keeps its contract.  Returns the
-    written paths."""
+    the leakage audit has found nothing; every stage keeps its contract.  Each stage but the
+    last is committed as a new version of its folder, so a run that fails leaves the former
+    run's stages as they were.  Returns the written paths."""
     from eventfeat.sources import io as IO
 
     sfx = _STAGE_SUFFIX[horizon]
@@ -358,9 +359,13 @@ def run_stages(spark, flights_path: str, weather_path: str, stations_path: str,
     fl = clean_flights(spark.read.parquet(flights_path), calendar(spark))
     ap, backup = airport_stations(spark.read.parquet(stations_path), IO.read_csv(spark, airports_csv), fl)
     full = enrich_and_localize(fl, ap, backup, zones)
-    IO.write_stage(clean_weather(spark.read.parquet(weather_path)), path["weather_clean"])
+
+    def commit(df, name, **how):
+        path[name] = IO.write_version(check_stage(df, name) if name in STAGE_CONTRACT else df, path[name], **how)
+
+    commit(clean_weather(spark.read.parquet(weather_path)), "weather_clean")
     wx = spark.read.parquet(path["weather_clean"])
-    IO.write_stage(check_stage(final_join(full, wx), "final_join"), path["final_join"], n=OUTPUT_FILES, keys=OUTPUT_KEYS)
+    commit(final_join(full, wx), "final_join", n=OUTPUT_FILES, keys=OUTPUT_KEYS)
     joined = spark.read.parquet(path["final_join"])
     fit_rows = train_test(joined, horizon).filter(F.col("split") == "train") if fit_on_train else None
     # written with its audit column first: the audit and the narrowed stage read it once each
@@ -370,17 +375,17 @@ def run_stages(spark, flights_path: str, weather_path: str, stations_path: str,
     audit = leakage_check(full).first().asDict()
     if leaked := {k: v for k, v in audit.items() if k.endswith("_violations") and v}:
         raise ValueError(f"features known too late: {leaked}")
-    IO.write_stage(check_stage(model_table(full, keep=["FLIGHT_ID"]), "preprocessed"), path["preprocessed"])
+    commit(model_table(full, keep=["FLIGHT_ID"]), "preprocessed")
     pre = spark.read.parquet(path["preprocessed"])
-    IO.write_stage(check_stage(train_test(pre, horizon), "train_test"), path["train_test"], partition_by=["split"])
+    commit(train_test(pre, horizon), "train_test", partition_by=["split"])
     train = IO.read_partition(spark, path["train_test"], split="train").drop("split")
     ts = "CRS_DEP_DATETIME_UTC"
     folds = V.rolling_windows(train, ts, *V.ROLLING[horizon])
     if not folds.isEmpty():
-        IO.write_stage(check_stage(V.assign_folds(train, ts, folds), "rolling_windows"), path["rolling_windows"], partition_by=["fold", "role"])
+        commit(V.assign_folds(train, ts, folds), "rolling_windows", partition_by=["fold", "role"])
         windows = spark.read.parquet(path["rolling_windows"])
         done, _ = process_windows(windows)
-        IO.write_stage(check_stage(done, "processed"), path["processed"], partition_by=["fold", "role"])
+        commit(done, "processed", partition_by=["fold", "role"])
     if not train.isEmpty():
         test = spark.read.parquet(path["train_test"]).filter(F.col("split") == "test").drop("split")
         tr, te, _, _ = process_fold(train, test, downsample_ratio=None)

@@ -60,6 +60,21 @@ def q_s5(spark, d):
     return spark.read.parquet(p)
 
 
+@register("s5_write_version", "SELECT o_orderkey, o_totalprice FROM orders")
+def q_s5v(spark, d):
+    """The second version of a stage, read through its commit log."""
+    src, p = Tables(spark, d).orders.select("o_orderkey", "o_totalprice"), IO.scratch_path(spark, "versions")
+    IO.write_version(src.withColumn("o_totalprice", F.col("o_totalprice") + 1), p)
+    IO.write_version(src, p)
+    return spark.read.parquet(IO.current_version(spark, p))
+
+
+@register("o1_ordered_output", "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS position FROM orders")
+def q_o1(spark, d):
+    src, p = Tables(spark, d).orders.select("o_orderkey", "o_totalprice"), IO.scratch_path(spark, "ordered")
+    return IO.read_ordered(spark, IO.write_ordered(src, p, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 6))
+
+
 @register("s6_write_repartitioned", "SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders")
 def q_s6(spark, d):
     src = Tables(spark, d).orders.select("o_orderkey", "o_orderdate", "o_orderpriority")

@@ -287,6 +287,38 @@ def q_e11(spark, d):
     return _train_and_score(spark, d, reload=False)
 
 
+def _softmax_sql() -> str:
+    """Newton's method for the same model: a network without hidden layers has one optimum."""
+    p = "(1 / (1 + exp(-(w0 + w1 * a + w2 * b))))"
+    h = {k: f"sum({p} * (1 - {p}) * {v})" for k, v in {"h00": "1", "h01": "a", "h02": "b", "h11": "a * a", "h12": "a * b", "h22": "b * b"}.items()}
+    g = {k: f"sum(({p} - y) * {v})" for k, v in {"g0": "1", "g1": "a", "g2": "b"}.items()}
+    sums = ", ".join(f"{e} AS {k}" for k, e in {**h, **g}.items())
+    return f"""
+WITH RECURSIVE t AS (SELECT CAST(o_custkey AS DOUBLE) AS k, ln(1 + o_totalprice) AS l,
+    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y FROM orders WHERE o_orderdate < TIMESTAMP '{_CUT}'),
+x AS (SELECT (k - avg(k) OVER ()) / stddev_samp(k) OVER () AS a, (l - avg(l) OVER ()) / stddev_samp(l) OVER () AS b, y FROM t),
+it AS (SELECT 0 AS i, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2
+  UNION ALL
+  SELECT i + 1, w0 - (c00 * g0 + c01 * g1 + c02 * g2) / det, w1 - (c01 * g0 + c11 * g1 + c12 * g2) / det, w2 - (c02 * g0 + c12 * g1 + c22 * g2) / det
+  FROM (SELECT *, h00 * c00 + h01 * c01 + h02 * c02 AS det FROM (
+    SELECT *, h11 * h22 - h12 * h12 AS c00, h02 * h12 - h01 * h22 AS c01, h01 * h12 - h02 * h11 AS c02, h00 * h22 - h02 * h02 AS c11,
+      h01 * h02 - h00 * h12 AS c12, h00 * h11 - h01 * h01 AS c22
+    FROM (SELECT i, w0, w1, w2, {sums} FROM it, x GROUP BY i, w0, w1, w2) q) r) v WHERE i < 10)
+SELECT count(*) AS rows, round(avg(ln(1 + exp(w0 + w1 * a + w2 * b)) - y * (w0 + w1 * a + w2 * b)), 5) AS loss, true AS stationary
+FROM x, it WHERE i = 10"""
+
+
+@register("e11_training_loss", _softmax_sql())
+def q_e11_loss(spark, d):
+    """Loss of a trained network without hidden layers, whose optimum SQL can find."""
+    from eventfeat.operators.train import train_mlp, training_loss
+    df = _model_frame(spark, d).filter(_is_train()).withColumn("y", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("double"))
+    tr = FE.feature_pipeline(FE.FeatureSpec(numeric=_SPEC.numeric, log_cols=_SPEC.log_cols)).fit(df).transform(df)
+    model = train_mlp(tr, "numbers_scaled", "y", hidden=(), tol=1e-9)
+    got = training_loss(model, tr, "numbers_scaled", "y")
+    return got.select("rows", F.round("loss", 5).alias("loss"), (F.col("gradient") < 1e-3).alias("stationary"))
+
+
 @register("e11_train_per_fold")
 def q_e11f(spark, d):
     from eventfeat.operators.split import assign_folds, rolling_windows

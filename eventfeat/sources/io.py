@@ -1,5 +1,5 @@
-"""Parquet/CSV scans, literal tables, partitioned sinks, model persistence and an
-append-only metric log (S1-S9).
+"""Parquet/CSV scans, literal tables, partitioned and ordered sinks, committed stage
+versions, model persistence and an append-only metric log (S1-S9, O1).
 
 Paths are plain URIs (local, HDFS, object store).  Nothing is collected: folds
 are discovered with a distinct over the partition column, not by listing folders
@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ def stage_path(root: str, stage: str, horizon: str = "all") -> str:
 def read_stage(spark: SparkSession, root: str, stage: str, horizon: str = "all") -> DataFrame:
     """Parquet scan of a horizon-suffixed stage folder (lazy; filters and
     projections applied later are pushed into the scan)."""
-    return spark.read.parquet(stage_path(root, stage, horizon))
+    return spark.read.parquet(current_version(spark, stage_path(root, stage, horizon)))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -47,7 +47,7 @@ def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.Struc
 def read_partition(spark: SparkSession, path: str, **parts) -> DataFrame:
     """Scan a hive-partitioned folder, pruning partitions by equality filters
     (``read_partition(spark, p, split="train")``) instead of hard-coding sub-paths."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(current_version(spark, path))
     for k, v in parts.items():
         df = df.filter(F.col(k) == F.lit(v))
     return df
@@ -81,11 +81,114 @@ def write_splits(parts: Mapping[str, DataFrame], path: str, by: str = "split", m
     return path
 
 
+# ------------------------------------------------------------------ committed versions
+
+_COMMITS = "_commits"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time in ms) of a folder's entries; none if it is missing."""
+    fs, p = _fs(spark, path)
+    return [(f.getPath().getName(), f.getModificationTime()) for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def commits(spark: SparkSession, path: str) -> list[str]:
+    """Version folders of a stage in order of their commits; an entry of the commit log is
+    an empty file ``<number>.<version>``."""
+    entries = [n.split(".", 1) for n, _ in _children(spark, f"{path}/{_COMMITS}") if not n.startswith("_")]
+    return [v for _, v in sorted((int(k), v) for k, v in entries)]
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder that readers of a stage take: its last committed version, or the folder
+    itself where a stage has none.  What a failed or running write has left is never read."""
+    done = commits(spark, path)
+    return f"{path}/{done[-1]}" if done else path
+
+
+def write_version(df: DataFrame, path: str, n: int | None = None, keys: Sequence[str] = (), partition_by: Sequence[str] = (),
+                  keep: int = 2) -> str:
+    """S5-S7 as a commit: the rows go to a new version folder, and only when all are written
+    does an entry of the commit log name it.  Creating the entry is one file-system call
+    that fails if the number is taken, so of two writers one is told.  The last ``keep``
+    versions stay, older ones are removed.  Returns the version's folder."""
+    spark, done = df.sparkSession, commits(df.sparkSession, path)
+    version = f"v{len(done):06d}-{uuid.uuid4().hex[:12]}"
+    write_stage(df, f"{path}/{version}", n, keys, partition_by, mode="errorifexists")
+    # a number whose writer died between the two steps is skipped
+    number = max((int(n.lstrip("_").split(".", 1)[0]) for n, _ in _children(spark, f"{path}/{_COMMITS}")), default=-1) + 1
+    fs, entry = _fs(spark, f"{path}/{_COMMITS}/_{number:09d}")
+    fs.create(entry, False).close()  # takes the number, or raises
+    fs.rename(entry, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_COMMITS}/{number:09d}.{version}"))
+    remove_versions(spark, path, keep)
+    return f"{path}/{version}"
+
+
+def remove_versions(spark: SparkSession, path: str, keep: int = 2, abandoned_s: float = 86_400) -> list[str]:
+    """Remove the committed versions before the last ``keep``, and folders that no commit
+    names and nothing has changed for ``abandoned_s`` seconds (failed writes).  Returns the
+    removed names."""
+    import time
+
+    done = commits(spark, path)
+    old, named = set(done[:-keep] if keep else done), set(done)
+    limit = (time.time() - abandoned_s) * 1000
+    gone = [n for n, t in _children(spark, path) if n in old or (n.startswith("v") and n not in named and t < limit)]
+    for name in gone:
+        if name in old:  # the log entry first: no reader resolves to a folder that goes
+            for e, _ in _children(spark, f"{path}/{_COMMITS}"):
+                if e.endswith(f".{name}"):
+                    fs, p = _fs(spark, f"{path}/{_COMMITS}/{e}")
+                    fs.delete(p, False)
+        fs, p = _fs(spark, f"{path}/{name}")
+        fs.delete(p, True)
+    return gone
+
+
+# ------------------------------------------------------------------ O1 ordered output
+
+def write_ordered(df: DataFrame, path: str, by: Sequence[str | Column], partitions: int | None = None) -> str:
+    """O1: parquet in global order of ``by``: range-partitioned (sampled bounds), sorted
+    inside each file, files in the order of their names.  No task sorts all rows."""
+    r = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    r.sortWithinPartitions(*by).write.option("maxRecordsPerFile", 0).parquet(path)
+    return path
+
+
+def read_ordered(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """O1: rows of ``write_ordered`` with their place in the whole order, from 0: the rows
+    of all files before (one count per file) plus the row's index in its file."""
+    df = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    w = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = df.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_start"))
+    return df.join(starts, "_file").withColumn(position, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
+
+# ------------------------------------------------------------------ scratch
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory (never machine-local on
-    a cluster: ``spark.checkpoint.dir`` is the cluster's shared folder)."""
+    a cluster: ``spark.checkpoint.dir`` is the cluster's shared folder), named by the
+    application so that ``remove_scratch`` finds it."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/eventfeat-{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, application_id: str | None = None) -> list[str]:
+    """Remove the scratch folders of an application (this one by default), when its results
+    are written and no DataFrame that reads them is used any more.  Returns their names."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/eventfeat-{name}-{uuid.uuid4().hex[:12]}"
+    mine = f"eventfeat-{application_id or spark.sparkContext.applicationId}-"
+    gone = [n for n, _ in _children(spark, base) if n.startswith(mine)]
+    for name in gone:
+        fs, p = _fs(spark, f"{base}/{name}")
+        fs.delete(p, True)
+    return gone
 
 
 def save_model(model, path: str) -> str:
@@ -95,15 +198,11 @@ def save_model(model, path: str) -> str:
 
 
 def load_model(path: str):
-    """Reload a PipelineModel (or a single model when saved standalone)."""
-    from pyspark.ml import PipelineModel
-
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - a single stage saved on its own
-        from pyspark.ml.classification import MultilayerPerceptronClassificationModel
+    """Reload a PipelineModel, or a single model when saved standalone, by the class
+    that its metadata names."""
+    from pyspark.ml.util import DefaultParamsReader
 
-        return MultilayerPerceptronClassificationModel.load(path)
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
 
 
 METRIC_SCHEMA = "run_id string, fold int, step int, name string, value double"

@@ -186,7 +186,8 @@ def test_run_stages_writes_every_stage(spark, inputs):
     FL.check_stage(done, "processed")
     tt = spark.read.parquet(paths["train_test"])
     assert {r["split"] for r in tt.select("split").distinct().collect()} == {"train"}
-    assert paths["final_join"].endswith("run_1y/final_join")
+    root_of = paths["final_join"].rsplit("/", 1)[0]
+    assert root_of.endswith("run_1y/final_join") and IO.current_version(spark, root_of) == paths["final_join"]
     assert not os.path.exists(paths["processed"].replace("file:", ""))   # no fold fits in 2 days of data
 
 
