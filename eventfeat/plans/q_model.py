@@ -310,11 +310,12 @@ FROM x, it WHERE i = 10"""
 
 @register("e11_training_loss", _softmax_sql())
 def q_e11_loss(spark, d):
-    """Loss of a trained network without hidden layers, whose optimum SQL can find."""
+    """Loss of a trained network without hidden layers, whose optimum SQL can find.  Blocks
+    of one row, as the library's objective is a mean over blocks."""
     from eventfeat.operators.train import train_mlp, training_loss
     df = _model_frame(spark, d).filter(_is_train()).withColumn("y", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("double"))
     tr = FE.feature_pipeline(FE.FeatureSpec(numeric=_SPEC.numeric, log_cols=_SPEC.log_cols)).fit(df).transform(df)
-    model = train_mlp(tr, "numbers_scaled", "y", hidden=(), tol=1e-9)
+    model = train_mlp(tr, "numbers_scaled", "y", hidden=(), tol=1e-9, block_size=1)
     got = training_loss(model, tr, "numbers_scaled", "y")
     return got.select("rows", F.round("loss", 5).alias("loss"), (F.col("gradient") < 1e-3).alias("stationary"))
 
