@@ -26,7 +26,8 @@ from pyspark.sql.window import Window
 from eventfeat.llm.common import written
 
 PUNCTUATION = ".,;:!?|#$%&*()[]{}<>-+=/\"_~"
-CACHE_WORDS = 300_000  # words and pieces that a worker remembers, each
+CACHE_WORDS = 300_000  # pieces and odd words that a worker remembers, each
+CHUNK = 1 << 23  # bytes of text that a worker encodes at a time
 END_ID = 1
 
 
@@ -36,12 +37,33 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Remembered(dict):
+    """Ids by string, computed at the first use.  Past ``CACHE_WORDS`` strings those of the
+    time before the last turnover are forgotten; strings still in use are taken over."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, s: str) -> bytes:
+        got = self.old.get(s)
+        if got is None:
+            got = self.compute(s)
+        self[s] = got
+        return got
+
+    def turn_over(self) -> None:
+        if len(self) > CACHE_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordEncoder:
-    """Ids of a text by a tokenizer whose tokens never cross white space, as little-endian
-    16-bit numbers.  Words are encoded once and remembered.  A word of plain Latin letters
-    with punctuation at its end is two pieces by the tokenizer's own split rule; its
-    lower-case letters go straight to the merge model.  Any other word takes the
-    tokenizer's full path."""
+    """Ids of texts by a tokenizer whose tokens never cross white space, as little-endian
+    16-bit numbers.  The words of many texts are numbered first, so that each distinct word
+    is looked up once.  A word of plain Latin letters with punctuation at its end is two
+    pieces by the tokenizer's own split rule; its lower-case letters go straight to the merge
+    model.  Any other word takes the tokenizer's full path.  Both are remembered."""
 
     def __init__(self, path: str):
         import os
@@ -50,60 +72,85 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        if self.full.get_vocab_size() > 1 << 16:
+        size = self.full.get_vocab_size()
+        if size > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
-        self.model = self.full.model
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
-        # byte-level alphabet: printable Latin-1 bytes stand for themselves, the others
-        # follow from code point 256 on
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        rest = iter(range(256, 512))
-        self.alphabet = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+        self.tokenize = self.full.model.tokenize
+        self.packed = [i.to_bytes(2, "little") for i in range(size)]
+        self.words, self.pieces = _Remembered(self._word), _Remembered(self._piece)
 
     def _piece(self, s: str) -> bytes:
-        got = self.pieces.get(s)
-        if got is None:
-            ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.alphabet))]
-            got = self.pieces[s] = b"".join(i.to_bytes(2, "little") for i in ids)
-        return got
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(s)])
 
-    def _word(self, w: str) -> bytes | None:
-        """Ids of a plain word, None if it is not plain."""
-        core = w.rstrip(PUNCTUATION)
-        if core and core.isalpha() and max(core) < "İ":
-            tail = w[len(core):]
-            return self._piece(core.lower()) + (self._piece(tail) if tail else b"")
-        return None
+    def _word(self, w: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[i] for i in self.full.encode(w, add_special_tokens=False).ids])
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _distinct(self, words):
+        """Ids of an Arrow array of words."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def looked_up(found, strings):
+            return pa.array([found[s] for s in strings.to_numpy(zero_copy_only=False).tolist()], pa.binary())
+
+        core = pc.utf8_rtrim(words, characters=PUNCTUATION)
+        plain = pc.ascii_is_alpha(core)
+        letters = pc.ascii_lower(core.filter(plain))
+        tails = pc.replace_substring_regex(words.filter(plain), pattern="^[A-Za-z]+", replacement="")
+        pieces = pa.concat_arrays([letters, tails]).dictionary_encode()
+        ids = looked_up(self.pieces, pieces.dictionary).take(pieces.indices)
+        ids = pc.binary_join_element_wise(ids.slice(0, len(letters)), ids.slice(len(letters)), pa.scalar(b""))
+        # the plain words first, then the others; each word at its place again
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        at = np.where(is_plain, np.cumsum(is_plain), len(letters) + np.cumsum(~is_plain)) - 1
+        return pa.concat_arrays([ids, looked_up(self.words, words.filter(pc.invert(plain)))]).take(pa.array(at))
+
+    def encode_array(self, texts):
+        """Ids of an Arrow array of texts, as an Arrow array of bytes."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not len(texts):
+            return pa.array([], pa.binary())
+        self.words.turn_over()
+        self.pieces.turn_over()
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        numbered = split.flatten().dictionary_encode()
+        ids = self._distinct(numbered.dictionary).take(numbered.indices)
+        _, starts, data = ids.buffers()
+        starts = np.frombuffer(starts, "<i4")[ids.offset:ids.offset + len(ids) + 1]
+        ends = split.offsets.to_numpy()
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(starts[ends - ends[0]].tobytes()), data])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        import pyarrow as pa
 
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words = {"": b""}
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces = {}
-        words, odd = self.words, []
-        for parts in split:
-            for w in {*parts}.difference(words):
-                got = self._word(w)
-                words[w] = b"" if got is None else got
-                if got is None:
-                    odd.append(w)
-        for at in range(0, len(odd), 4096):
-            some = odd[at:at + 4096]
-            for w, e in zip(some, self.full.encode_batch(some, add_special_tokens=False)):
-                words[w] = np.array(e.ids, "<u2").tobytes()
-        return [b"".join([words[w] for w in parts]) for parts in split]
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of this worker process
 
 
+def _chunks(texts):
+    """(start, length) of stretches of texts of about ``CHUNK`` bytes: bounded memory."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype("i8")
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // CHUNK)) + 1
+    edges = [0, *cuts.tolist(), len(sizes)]
+    return [(x, y - x) for x, y in zip(edges, edges[1:]) if y > x]
+
+
 def _tokenized(path: str):
     def run(batches) -> Iterator:
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         enc = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
@@ -111,17 +158,14 @@ def _tokenized(path: str):
         end = END_ID.to_bytes(2, "little")
         schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
         for b in batches:
-            for k in range(0, b.num_rows, 256):  # few texts at a time: bounded memory
-                some = b.slice(k, 256)
-                ids = [x + end for x in enc.encode(some.column(1).to_pylist())]
-                n = [len(x) // 2 for x in ids]
-                starts = []
-                for x in n:
-                    starts.append(at)
-                    at += x
+            for k, m in _chunks(b.column(1)):
+                some = b.slice(k, m)
+                ids = pc.binary_join_element_wise(enc.encode_array(some.column(1)), pa.scalar(end), pa.scalar(b""))
+                n = pc.binary_length(ids).to_numpy().astype("i8") // 2
+                after = at + np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([
-                    some.column(0), pa.array([part] * len(n), pa.int32()), pa.array(starts, pa.int64()),
-                    pa.array(n, pa.int64()), pa.array(ids, pa.binary())], schema=schema)
+                    some.column(0), pa.array(np.full(m, part, "i4")), pa.array(after - n), pa.array(n), ids], schema=schema)
+                at = int(after[-1])
 
     return run
 
