@@ -8,7 +8,9 @@ merged with array aggregation, and everything is concatenated.  Template:
 A control string (``<s>``, ``</s>``, ``[INST]``, ``[/INST]``) inside a role or text gets a
 backslash after its first character (one more if it already has some), which is undone
 when reading back, so formatting is reversible for any text.  The loss mask holds the
-(start, length) spans of the assistant texts in the formatted string, in code points.
+spans of the assistant texts in the formatted string, in code points (``start``, ``len``)
+and in UTF-8 bytes (``byte_start``, ``byte_len``), which reach a text without counting the
+code points before it.  Work grows with n log n in the turns of a conversation.
 
 Defined results: a null text or role is empty; ties of ``turn`` are ordered by role, then
 text; repeated rows are turns of their own; null turns come first; rows with a null
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE, TURN, END = "<s>", "</s>", "[INST]", "[/INST]"
+MARKS = len(TURN) + len(END)
 _TAIL = r"(/?s>|/?INST\])"
 
 
@@ -52,16 +55,32 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         (t["role"] == loss_role).alias("loss"))))
     whole = pieces.withColumn("formatted", F.array_join(F.transform(
         "ps", lambda p: F.concat(p["head"], F.lit(TURN), p["body"], F.lit(END), p["tail"])), ""))
-    # start of each body: running total of the lengths before it
-    spans = F.aggregate(
-        "ps", F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,len:int,loss:boolean>>)").alias("out")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"]) + len(TURN) + len(END)).alias("at"),
-            F.concat(a["out"], F.array(F.struct(
-                (a["at"] + F.length(p["head"]) + len(TURN)).alias("start"), F.length(p["body"]).alias("len"),
-                p["loss"].alias("loss")))).alias("out")),
-        lambda a: F.transform(F.filter(a["out"], lambda x: x["loss"]), lambda x: F.struct(x["start"], x["len"])))
-    return whole.select("conv_id", "formatted", spans.alias("loss_spans"))
+    whole = whole.withColumn("starts", F.transform("ps", lambda p: F.struct(
+        (F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"]) + MARKS).alias("chars"),
+        (F.octet_length(p["head"]) + F.octet_length(p["body"]) + F.octet_length(p["tail"]) + MARKS).alias("bytes"))))
+    # end of each turn, then of its body: what follows the body is cut off again
+    spans = F.zip_with("ps", running_totals(F.col("starts")), lambda p, end: F.struct(
+        (end["chars"] - F.length(p["tail"]) - len(END) - F.length(p["body"])).alias("start"), F.length(p["body"]).alias("len"),
+        (end["bytes"] - F.octet_length(p["tail"]) - len(END) - F.octet_length(p["body"])).alias("byte_start"),
+        F.octet_length(p["body"]).alias("byte_len"), p["loss"].alias("loss")))
+    return whole.select("conv_id", "formatted", F.transform(F.filter(spans, lambda x: x["loss"]), lambda x: F.struct(
+        x["start"], x["len"], x["byte_start"], x["byte_len"])).alias("loss_spans"))
+
+
+def running_totals(lengths: Column) -> Column:
+    """Running totals of an array of ``(chars, bytes)`` structs.  Step k adds to each element
+    the one 2^(k-1) places before it, so n elements take log2(n) steps over the array."""
+    def before(a, i, k, field):
+        return F.coalesce(F.get(a, i - F.call_function("shiftleft", F.lit(1), k - 1))[field], F.lit(0))
+
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size(lengths))).cast("int")))
+    return F.aggregate(steps, lengths, lambda a, k: F.transform(a, lambda x, i: F.struct(
+        (x["chars"] + before(a, i, k, "chars")).alias("chars"), (x["bytes"] + before(a, i, k, "bytes")).alias("bytes"))))
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where lambdas inside refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def read_back(formatted: Column) -> Column:
@@ -69,18 +88,17 @@ def read_back(formatted: Column) -> Column:
     blocks = F.filter(F.split(formatted, r"</s>"), lambda b: b != "")
 
     def turns(b):
-        body = F.regexp_replace(b, r"^<s>", "")
-        parts = F.split(body, r"\[INST\]")
-        return F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda x: F.struct(
-            unescape(F.get(parts, F.lit(0))).alias("role"),
-            unescape(F.regexp_replace(x, r"\[/INST\]$", "")).alias("text")))
+        return bound(F.split(F.regexp_replace(b, r"^<s>", ""), r"\[INST\]"), lambda parts: bound(
+            unescape(F.get(parts, F.lit(0))), lambda role: F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda x: F.struct(
+                role.alias("role"), unescape(F.regexp_replace(x, r"\[/INST\]$", "")).alias("text")))))
 
     return F.flatten(F.transform(blocks, turns))
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, joined without separator."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["len"]))), "")
+    return bound(formatted.cast("binary"), lambda raw: F.array_join(F.transform(spans, lambda s: unescape(
+        F.substr(raw, s["byte_start"] + 1, s["byte_len"]).cast("string"))), ""))
 
 
 def chat_digest(chats: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import html as H
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -251,3 +252,34 @@ def test_chats(spark):
     one = {r.conv_id: r.formatted for r in chat.format_chats(df).collect()}
     assert one[1] == "<s>user[INST]hi[/INST]</s><s>assistant[INST]hello[/INST][INST]again[/INST]</s><s>user[INST][/INST]</s>"
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_running_totals(spark):
+    rows = [(n, [{"chars": k % 7, "bytes": 3 * k} for k in range(n)]) for n in (0, 1, 2, 3, 8, 9, 1000)]
+    df = spark.createDataFrame(rows, "n int, xs array<struct<chars:int,bytes:int>>")
+    for r in df.select("n", chat.running_totals(df.xs).alias("t")).collect():
+        assert [tuple(x) for x in r.t] == list(zip(itertools.accumulate(k % 7 for k in range(r.n)), itertools.accumulate(3 * k for k in range(r.n))))
+
+
+def test_loss_spans_in_code_points_and_bytes(spark):
+    texts = ["né </s>", None, "", "中[INST]", "\U0001f600 end", "<s>"]
+    rows = [(1, n, role, t) for n, (role, t) in enumerate(zip(["user", "assistant", "assistant", "user", "assistant", "assistant"], texts))]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()[0]
+    want = ["", "", "\U0001f600 end", "<\\s>"]
+    raw = got.formatted.encode()
+    assert [got.formatted[x.start:x.start + x.len] for x in got.loss_spans] == want
+    assert [raw[x.byte_start:x.byte_start + x.byte_len].decode() for x in got.loss_spans] == want
+
+
+@pytest.mark.parametrize("one_role", [False, True])
+def test_conversation_of_very_many_turns(spark, one_role):
+    n = 50_000
+    rows = [("assistant" if one_role or k % 2 else "user", f"[INST] é {k}") for k in range(n)]
+    role = "'assistant'" if one_role else "IF(id % 2 = 1, 'assistant', 'user')"
+    df = spark.range(n).selectExpr("7L AS conv_id", "id AS turn", f"{role} AS role", "concat('[INST] é ', id) AS text")
+    began = time.monotonic()
+    got = chat.chat_digest(chat.format_chats(df)).collect()
+    assert time.monotonic() - began < 30  # a copy of the list at every turn takes minutes
+    loss = "".join(t for r, t in rows if r == "assistant")
+    assert [(r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got] == [
+        (n, sha("".join(f"{r}\n{t}\n" for r, t in rows)), len(loss), sha(loss))]
