@@ -239,13 +239,16 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col, text_col, item_col, it
 
     p = seen.plan(spark)
     member = seen.twice_seen(seeds.select("h").mapInArrow(_member_messages(p), seen.MESSAGES), p)
-    longest = tests.agg(F.max(F.size(F.split("item_text", r"\s+")))).first()[0] or 0
+    # words as normal_words cuts them
+    longest = tests.agg(F.max(F.regexp_count("item_text", F.lit(r"[^\p{Punct}\s]+")))).first()[0] or 0
     regions = written(d.mapInArrow(_regions(p, member, REACH * max(longest, MIN_WORDS)),
                                    "row long, id long, start int, words binary, seeds array<long>"), "regions")
-    pairs = regions.select("row", "start", F.explode("seeds").alias("h")).join(seeds, "h").select("row", "start", "item").distinct()
+    # a row is known by its id and the hash of id and text
+    pairs = regions.select("row", F.col("id").alias("of"), "start", F.explode("seeds").alias("h")).join(seeds, "h").select(
+        "row", "of", "start", "item").distinct()
     # rows of equal id and text have equal regions: one of them is enough
-    whole = regions.dropDuplicates(["row", "start"]).select("row", "start", "id", "words")
-    both = pairs.join(whole, ["row", "start"]).join(tests.select(F.col("key").alias("item"), F.col("item").alias("item_id"), "item_text"), "item")
+    whole = regions.dropDuplicates(["row", "id", "start"]).select("row", "start", "id", "words")
+    both = pairs.join(whole, ["row", "start"]).filter(F.col("of").eqNullSafe(F.col("id"))).join(tests.select(F.col("key").alias("item"), F.col("item").alias("item_id"), "item_text"), "item")
     return both.select("row", "id", "item_id", "words", "item_text").mapInArrow(
         _aligned(min_score, min_words, run), "row long, doc_id long, item_id long, score double")
 
@@ -264,5 +267,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   min_score: float = MIN_SCORE, run: int = RUN) -> DataFrame:
     """The rows of ``docs`` (all their columns) that hold no test item."""
     found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text, rare, min_words, min_score, run)
-    rows = written(found.select(F.col("row").alias("__row")).distinct(), "leaks")
-    return docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col))).join(rows, "__row", "left_anti").select(*docs.columns)
+    rows = written(found.select(F.col("row").alias("__leak"), F.col("doc_id").alias("__of")).distinct(), "leaks")
+    return docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col))).join(
+        rows, (F.col("__row") == F.col("__leak")) & F.col(id_col).cast("long").eqNullSafe(F.col("__of")), "left_anti").select(*docs.columns)

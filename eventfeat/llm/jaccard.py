@@ -260,7 +260,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS_PER_SHINGLE,
                 percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` (all their columns) with the smallest id of each component.
-    Rows that repeat an id and a text are one document; rows with a null id stay."""
+    Rows that repeat an id and a text are one document; rows of one id and several texts are
+    parts of one document, which stay or go together; rows with a null id stay."""
     found = written(links(docs, id_col, text_col, k, percent), "components")
     gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "gone")
     again = written(found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id"), "again")

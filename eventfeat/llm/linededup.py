@@ -124,7 +124,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = 5) -> DataFrame:
     """``docs`` with its text rewritten, plus ``__n_lines`` and ``__n_dropped``."""
     p = seen.plan(docs.sparkSession)
-    # a row is known by its id and text: equal rows lose the same lines
+    # a row is known by its id and the hash of id and text: equal rows lose the same lines
     row = F.xxhash64(F.col(id_col), F.col(text_col))
 
     shared = seen.twice_seen(docs.select(F.col(text_col)).mapInArrow(_spread(min_chars, p), seen.MESSAGES), p)
@@ -135,9 +135,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # written: the join below then deals both sides out anew and a line that very many
     # documents share can be split
     drop = written(drop.select("k", "keep"), "line-drop")
-    lost = suspects.join(drop, "k").filter(~F.col("id").eqNullSafe(F.col("keep"))).groupBy("row").agg(
-        F.collect_set("k").alias("__drop"))
-    joined = docs.withColumn("__row", row).join(lost.withColumnRenamed("row", "__row"), "__row", "left").select(*docs.columns, "__drop")
+    lost = suspects.join(drop, "k").filter(~F.col("id").eqNullSafe(F.col("keep"))).groupBy(
+        F.col("row").alias("__lost"), F.col("id").alias("__of")).agg(F.collect_set("k").alias("__drop"))
+    joined = docs.withColumn("__row", row).join(
+        lost, (F.col("__row") == F.col("__lost")) & F.col(id_col).cast("long").eqNullSafe(F.col("__of")), "left").select(*docs.columns, "__drop")
     out = T.StructType([*docs.schema.fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())])
     return joined.mapInArrow(_rewrite(min_chars, out, docs.columns.index(text_col)), out)
 

@@ -3,7 +3,7 @@
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from helpers import SCHEMA, awkward_docs, jaccard_components, line_dedup, prose, quality, repeats, rows_of, sha
@@ -253,6 +253,32 @@ def test_decontamination_of_parts_and_short_items(spark):
     assert left == {i for i, _ in docs} - {i for i, _ in want}
 
 
+def test_decontamination_of_items_without_spaces(spark):
+    rng = random.Random(8)
+    item = [f"k{n}q" for n in range(60)]
+    cut = item[:]
+    for n in (9, 21, 33, 45):  # no run of 13 words is left
+        cut[n] = "other"
+    filler = [prose(rng, 150) for _ in range(8)]
+    rows = [(n, t) for n, t in enumerate(filler)] + [(10, filler[0] + " " + ",".join(cut) + ", " + filler[1]), (None, " ".join(item)), (None, filler[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, ",".join(item))], "item_id long, text string")
+    found = {r.doc_id: r.score for r in decontam.leaks(docs, tests).collect()}
+    assert set(found) == {10, None} and found[None] == 1.0
+    # the whole item lies in the region: all words but the four, which cost one each
+    assert found[10] == (2 * 56 - 4) / 120
+    left = [r.text for r in decontam.without_leaks(docs, tests).collect() if r.doc_id is None]
+    assert left == [filler[2]]
+
+
+def test_rows_of_one_id_are_one_document_of_the_near_duplicate_stage(spark):
+    rng = random.Random(9)
+    a, b, c = (prose(rng, 120) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, prose(rng, 90)), (None, a), (None, b)], "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs).collect()]
+    assert Counter(i for i, _ in left) == {1: 1, 3: 2, None: 2}
+
+
 def test_alignment_score():
     w = "a b c d e f g h".split()
     enc = lambda x: [y.encode() for y in x]
