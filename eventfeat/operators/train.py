@@ -19,13 +19,24 @@ ARCH = {
     "mlp2": {"hidden": (32,), "step_size": 0.005},
 }
 MAX_ITER, BLOCK_SIZE, SEED, TOL = 100, 128, 42, 1e-6
+# rows of one training task (64 blocks), until there are so many tasks; from then on tasks get more rows
+TASK_ROWS, MAX_TASKS = 8192, 1024
+
+
+def spread_rows(train: DataFrame) -> DataFrame:
+    """``train`` dealt evenly over tasks by its number of rows alone.  The trainer passes over its
+    input's partitions once or more per iteration, so a small file (one partition) would
+    be trained on by one core, however many rows it holds."""
+    tasks = min(MAX_TASKS, -(-train.count() // TASK_ROWS))
+    return train.repartition(tasks) if tasks > 1 else train
 
 
 def train_mlp(train: DataFrame, features: str, label: str, hidden: Sequence[int] = (128, 64), n_classes: int = 2,
               max_iter: int = MAX_ITER, step_size: float = 0.01, block_size: int = BLOCK_SIZE, seed: int = SEED,
               tol: float = TOL, input_dim: int | None = None) -> MultilayerPerceptronClassificationModel:
     """Fit an MLP ``[d, *hidden, n_classes]``; ``d`` is read from the vector
-    column's ML attribute metadata (no data pass) unless given.
+    column's ML attribute metadata (no data pass) unless given.  Rows are dealt anew
+    first (``spread_rows``).
 
     The library minimises the mean of its blocks' mean losses, so the short last block of
     each partition weighs as much as a full one: with few rows per partition the optimum is
@@ -37,7 +48,7 @@ def train_mlp(train: DataFrame, features: str, label: str, hidden: Sequence[int]
             input_dim = len(train.select(features).first()[0])
     mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=[int(input_dim), *hidden, n_classes],
                                          maxIter=max_iter, stepSize=step_size, blockSize=block_size, seed=seed, tol=tol)
-    return mlp.fit(train.withColumn(label, F.col(label).cast("double")))
+    return mlp.fit(spread_rows(train.select(features, F.col(label).cast("double").alias(label))))
 
 
 def training_loss(model: MultilayerPerceptronClassificationModel, df: DataFrame, features: str, label: str) -> DataFrame:

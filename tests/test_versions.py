@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventfeat.operators.features import fit_scaler
-from eventfeat.operators.train import train_mlp, training_loss
+from eventfeat.operators.train import spread_rows, train_mlp, training_loss
 from eventfeat.sources import io as IO
 
 
@@ -125,3 +125,20 @@ def test_training_loss_equals_a_plain_computation(spark):
         assert got["gradient"] == pytest.approx(max(slopes) if not hidden else slopes[0]) and got["gradient"] < bound
     early = training_loss(train_mlp(tr, "scaled", "y", hidden=(), max_iter=1), tr, "scaled", "y").first()
     assert early["gradient"] > 1e-3  # one step is no optimum
+
+
+def test_training_is_dealt_over_tasks(spark):
+    df = spark.range(20_000).selectExpr("CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 17 > 8 OR id % 11 = 0 AS DOUBLE) AS y").coalesce(1)
+    tr = fit_scaler(df, ["a"]).transform(df)
+    sc = spark.sparkContext
+    sc.setJobGroup("training-tasks", "tasks of a training run on one partition")
+    try:
+        model = train_mlp(tr, "scaled", "y", hidden=(2,), max_iter=4)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("training-tasks") for s in tracker.getJobInfo(j).stageIds]
+    assert sum(s is not None and s.numTasks == 3 for s in stages) >= 4  # each iteration at least
+    assert training_loss(model, tr, "scaled", "y").first()["rows"] == 20_000
+    assert sorted(r["a"] for r in spread_rows(tr).select("a").collect()) == sorted(r["a"] for r in tr.select("a").collect())
